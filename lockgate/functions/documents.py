@@ -1,75 +1,83 @@
-"""Brazilian person (11 digits) and company (14 digits) numbers with their check digits."""
+"""Brazilian person (11 digits) and company (14 digits) numbers with their check digits.
 
-from __future__ import annotations
+The digits build on each other, so the steps are separate projections: as one expression the base would
+be repeated for every digit of every check.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Check-digit weights.
+# Check-digit weights and the printed groups.
 PERSON_WEIGHTS = ([10, 9, 8, 7, 6, 5, 4, 3, 2], [11, 10, 9, 8, 7, 6, 5, 4, 3, 2])
 COMPANY_WEIGHTS = ([5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2], [6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2])
+PERSON_GROUPS = [(3, "."), (3, "."), (3, "-"), (2, "")]
+COMPANY_GROUPS = [(2, "."), (3, "."), (3, "/"), (4, "-"), (2, "")]
+PERSON_SHAPE = r"\A\d{3}\.\d{3}\.\d{3}-\d{2}\z"
+COMPANY_SHAPE = r"\A\d{2}\.\d{3}\.\d{3}/\d{4}-\d{2}\z"
 
 
-def _weighted(digits: Sequence[Column], weights: Sequence[int]) -> Column:
-    total = digits[0] * weights[0]
-    for digit, weight in zip(digits[1:], weights[1:]):
-        total = total + digit * weight
-    return total
+def _person_digit(total: Column) -> Column:
+    """Ten times the sum modulo 11, where 10 counts as 0."""
+    return total * 10 % 11 % 10
 
 
-def _person_check(digits: Sequence[Column], weights: Sequence[int]) -> Column:
-    rest = _weighted(digits, weights) * 10 % 11
-    return F.when(rest >= 10, 0).otherwise(rest)
+def _company_digit(total: Column) -> Column:
+    """What is missing to a multiple of 11, where 10 and 11 count as 0."""
+    return (F.lit(11) - total % 11) % 11 % 10
 
 
-def _company_check(digits: Sequence[Column], weights: Sequence[int]) -> Column:
-    rest = _weighted(digits, weights) % 11
-    return F.when(rest < 2, 0).otherwise(11 - rest)
+def _append_digit(df: DataFrame, digits: str, weights: list[int], rule) -> DataFrame:
+    terms = [F.substring(digits, i + 1, 1).cast("int") * w for i, w in enumerate(weights)]
+    total = terms[0]
+    for term in terms[1:]:
+        total = total + term
+    return df.withColumn("_check", rule(total)).withColumn(digits, F.concat(digits, F.col("_check").cast("string"))).drop("_check")
 
 
-def _with_checks(base: Column, width: int, weights, rule) -> Column:
-    """The zero-padded base followed by its two check digits, as digits only."""
-    text = F.lpad(base.cast("string"), width, "0")
-    digits = [F.substring(text, i + 1, 1).cast("int") for i in range(width)]
-    first = rule(digits, weights[0])
-    second = rule([*digits, first], weights[1])
-    return F.concat(text, first.cast("string"), second.cast("string"))
+def _completed(df: DataFrame, digits: str, base: Column, weights, rule) -> DataFrame:
+    """Add ``digits``: the zero-padded base followed by its two check digits."""
+    df = df.withColumn(digits, F.lpad(base.cast("string"), len(weights[0]), "0"))
+    for w in weights:
+        df = _append_digit(df, digits, w, rule)
+    return df
 
 
-def _dress(digits: Column, groups: Sequence[tuple[int, str]]) -> Column:
+def _printed(digits: str, groups: list[tuple[int, str]]) -> Column:
     parts, at = [], 1
     for width, tail in groups:
-        parts.append(F.substring(digits, at, width))
-        if tail:
-            parts.append(F.lit(tail))
+        parts += [F.substring(digits, at, width), F.lit(tail)]
         at += width
     return F.concat(*parts)
 
 
-PERSON_GROUPS = [(3, "."), (3, "."), (3, "-"), (2, "")]
-COMPANY_GROUPS = [(2, "."), (3, "."), (3, "/"), (4, "-"), (2, "")]
+def _with_number(df: DataFrame, name: str, base: Column, weights, rule, groups) -> DataFrame:
+    return _completed(df, "_digits", base, weights, rule).withColumn(name, _printed("_digits", groups)).drop("_digits")
 
 
-def cpf(base: Column) -> Column:
-    """ddd.ddd.ddd-dd from a number below 10^9."""
-    return _dress(_with_checks(base, 9, PERSON_WEIGHTS, _person_check), PERSON_GROUPS)
+def with_cpf(df: DataFrame, name: str, base: Column) -> DataFrame:
+    """Add ddd.ddd.ddd-dd for a number below 10^9."""
+    return _with_number(df, name, base, PERSON_WEIGHTS, _person_digit, PERSON_GROUPS)
 
 
-def cnpj(base: Column) -> Column:
-    """dd.ddd.ddd/dddd-dd from a number below 10^12."""
-    return _dress(_with_checks(base, 12, COMPANY_WEIGHTS, _company_check), COMPANY_GROUPS)
+def with_cnpj(df: DataFrame, name: str, base: Column) -> DataFrame:
+    """Add dd.ddd.ddd/dddd-dd for a number below 10^12."""
+    return _with_number(df, name, base, COMPANY_WEIGHTS, _company_digit, COMPANY_GROUPS)
 
 
-def _valid(text: Column, shape: str, width: int, make) -> Column:
-    base = F.substring(F.regexp_replace(text, "[^0-9]", ""), 1, width)
-    return F.coalesce(text.rlike(shape), F.lit(False)) & F.coalesce(make(base) == text, F.lit(False))
+def _with_validity(df: DataFrame, name: str, text: str, shape: str, weights, rule, groups) -> DataFrame:
+    width = len(weights[0])
+    well_formed = F.coalesce(F.col(text).rlike(shape), F.lit(False))
+    base = F.when(well_formed, F.substring(F.regexp_replace(text, "[^0-9]", ""), 1, width))
+    made = _with_number(df, "_made", base, weights, rule, groups)
+    return made.withColumn(name, F.coalesce(F.col("_made") == F.col(text), F.lit(False))).drop("_made")
 
 
-def cpf_valid(text: Column) -> Column:
-    return _valid(text, r"\A\d{3}\.\d{3}\.\d{3}-\d{2}\z", 9, cpf)
+def with_cpf_valid(df: DataFrame, name: str, text: str) -> DataFrame:
+    """Add whether a text column holds a well-formed person number with right check digits."""
+    return _with_validity(df, name, text, PERSON_SHAPE, PERSON_WEIGHTS, _person_digit, PERSON_GROUPS)
 
 
-def cnpj_valid(text: Column) -> Column:
-    return _valid(text, r"\A\d{2}\.\d{3}\.\d{3}/\d{4}-\d{2}\z", 12, cnpj)
+def with_cnpj_valid(df: DataFrame, name: str, text: str) -> DataFrame:
+    return _with_validity(df, name, text, COMPANY_SHAPE, COMPANY_WEIGHTS, _company_digit, COMPANY_GROUPS)

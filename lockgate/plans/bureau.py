@@ -149,10 +149,11 @@ def _company_name(d: Draws, column: str) -> Column:
 
 def clientes_pf(base: DataFrame, recipe: Recipe) -> DataFrame:
     df, d, _ = _start(base, "clientes_pf", recipe)
+    df = documents.with_cpf(df, "cpf", d.below("cpf", 10**9))
     day = recipe.as_of
     return df.select(
         F.col("id").alias("id_cliente"),
-        documents.cpf(d.below("cpf", 10**9)).alias("cpf"),
+        "cpf",
         _full_name(d, "nome", MALE + FEMALE).alias("nome"),
         _full_name(d, "nome_mae", FEMALE).alias("nome_mae"),
         d.days_back("data_nascimento", day, 85 * YEAR, 18 * YEAR).alias("data_nascimento"),
@@ -176,13 +177,14 @@ def clientes_pf(base: DataFrame, recipe: Recipe) -> DataFrame:
 
 def clientes_pj(base: DataFrame, recipe: Recipe) -> DataFrame:
     df, d, _ = _start(base, "clientes_pj", recipe)
+    df = documents.with_cnpj(df, "cnpj", d.below("cnpj", 10**12))
     day = recipe.as_of
     activity = F.concat(
         d.randint("cnae.1", 1000, 9999), F.lit("-"), d.randint("cnae.2", 1, 9), F.lit("/"), d.randint("cnae.3", 10, 99)
     )
     return df.select(
         F.col("id").alias("id_empresa"),
-        documents.cnpj(d.below("cnpj", 10**12)).alias("cnpj"),
+        "cnpj",
         _company_name(d, "razao_social").alias("razao_social"),
         _company_name(d, "nome_fantasia").alias("nome_fantasia"),
         d.choice("porte", COMPANY_SIZES).alias("porte"),

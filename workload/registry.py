@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from workload import data, metadata
+from workload import data, metadata, synthetic
 
-PARTS = [metadata, data]
+PARTS = [metadata, data, synthetic]
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLES = {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
