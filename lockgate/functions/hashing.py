@@ -8,38 +8,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lockgate.functions.exactsum import tick
+
 NULL_MARK = "N"
+SAMPLE_STEPS = 1_000_000
 
 
-def canonical(field: T.StructField) -> Column:
-    """One text per value. Free text carries its length, so that neighbouring columns cannot run together.
+def canonical(field: T.StructField) -> str:
+    """SQL for one text per value. Free text carries its length, so that neighbouring columns cannot run together.
 
     Nested values go through JSON; maps are sorted by key first.
     """
-    value, kind = F.col(f"`{field.name}`"), field.dataType
+    value, kind = tick(field.name), field.dataType
     if isinstance(kind, T.NumericType):
-        if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
-            value = F.when(value == 0, "0.0").otherwise(value.cast("string"))
-        return F.coalesce(value.cast("string"), F.lit(NULL_MARK))
+        text = f"CAST({value} AS STRING)"
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            text = f"CASE WHEN {value} = 0 THEN '0.0' ELSE {text} END"
+        return f"coalesce({text}, '{NULL_MARK}')"
     if isinstance(kind, T.MapType):
-        value = F.to_json(F.array_sort(F.map_entries(value)))
+        text = f"to_json(array_sort(map_entries({value})))"
     elif isinstance(kind, (T.ArrayType, T.StructType)):
-        value = F.to_json(value, {"ignoreNullFields": "false"})
+        text = f"to_json({value}, map('ignoreNullFields', 'false'))"
     elif isinstance(kind, T.BinaryType):
-        value = F.hex(value)
-    text = value.cast("string")
-    return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit(NULL_MARK))
-
-
-def text_hash(text: Column) -> Column:
-    """First 60 bits of md5 as a bigint: the same number in any engine."""
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+        text = f"hex({value})"
+    else:
+        text = f"CAST({value} AS STRING)"
+    return f"coalesce(concat(length({text}), ':', {text}), '{NULL_MARK}')"
 
 
-def portable_row_hash(schema: T.StructType, columns: Sequence[str] | None = None) -> Column:
-    """md5 based; use it when another engine must recompute the hash."""
-    fields = [schema[c] for c in (columns or schema.fieldNames())]
-    return text_hash(F.concat_ws("|", *[canonical(f) for f in fields]))
+def portable_row_hash(schema: T.StructType, columns: Sequence[str]) -> str:
+    """First 60 bits of md5 as a bigint: use it when another engine must recompute the hash."""
+    text = f"concat_ws('|', {', '.join(canonical(schema[c]) for c in columns)})"
+    return f"CAST(conv(substring(md5({text}), 1, 15), 16, 10) AS BIGINT)"
 
 
 def _hashable(kind: T.DataType) -> bool:
@@ -52,27 +52,26 @@ def _hashable(kind: T.DataType) -> bool:
     return True
 
 
-def fast_row_hash(schema: T.StructType, columns: Sequence[str] | None = None) -> Column:
+def fast_row_hash(schema: T.StructType, columns: Sequence[str]) -> str:
     """xxhash64, the default inside Spark. NULL flags are hashed too, as xxhash64 skips NULLs."""
     parts = []
-    for name in columns or schema.fieldNames():
+    for name in columns:
         field = schema[name]
-        value = F.col(f"`{name}`") if _hashable(field.dataType) else canonical(field)
-        parts += [value, F.col(f"`{name}`").isNull()]
-    return F.xxhash64(*parts)
+        parts += [tick(name) if _hashable(field.dataType) else canonical(field), f"{tick(name)} IS NULL"]
+    return f"xxhash64({', '.join(parts)})"
 
 
 HASHES = {"fast": fast_row_hash, "portable": portable_row_hash}
 
 
-def row_hash(schema: T.StructType, columns: Sequence[str] | None = None, kind: str = "fast") -> Column:
-    return HASHES[kind](schema, columns)
+def row_hash(schema: T.StructType, columns: Sequence[str], kind: str = "fast") -> Column:
+    return F.expr(HASHES[kind](schema, columns))
 
 
-def bucket(hash_value: Column, buckets: int) -> Column:
-    return F.pmod(hash_value, F.lit(buckets)).cast("int")
+def bucket(hash_value: str, buckets: int) -> Column:
+    return F.expr(f"CAST(pmod({hash_value}, {buckets}) AS INT)")
 
 
 def in_sample(key_hash: Column, fraction: float) -> Column:
     """True for the same keys on every side and every run; about ``fraction`` of them."""
-    return F.pmod(key_hash, F.lit(1_000_000)) < round(fraction * 1_000_000)
+    return F.pmod(key_hash, F.lit(SAMPLE_STEPS)) < round(fraction * SAMPLE_STEPS)

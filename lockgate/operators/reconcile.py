@@ -10,21 +10,21 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lockgate import constants as K
 from lockgate import schemas
-from lockgate.functions import hashing
+from lockgate.functions import exactsum, hashing
+from lockgate.functions.exactsum import tick
 from lockgate.sources.tables import frame, union_all
 
 SIDE = "_is_src"
-DOUBLE_SCALE = 6
 
 
 def _stack(src: DataFrame, tgt: DataFrame) -> DataFrame:
-    return src.withColumn(SIDE, F.lit(True)).unionByName(tgt.withColumn(SIDE, F.lit(False)))
+    return src.withColumn(SIDE, F.lit(True)).unionByName(tgt.withColumn(SIDE, F.lit(False)), allowMissingColumns=True)
 
 
 def _on_src(value: Column) -> Column:
@@ -148,38 +148,34 @@ def numeric_columns(schema: T.StructType, limit: int | None = None) -> list[str]
     return [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)][:limit]
 
 
-def exact(column: str, kind: T.DataType) -> Column:
-    """A form whose sum has no rounding, overflow or order effects."""
-    value = F.col(f"`{column}`")
-    if isinstance(kind, T.IntegralType):
-        return value.cast("decimal(20,0)")
-    if isinstance(kind, T.DecimalType):
-        return value
-    return value.try_cast(f"decimal(38,{DOUBLE_SCALE})")
-
-
-def _metric_aggregates(schema: T.StructType, columns: Sequence[str]) -> list[Column]:
+def _metric_aggregates(schema: T.StructType, columns: Sequence[str]) -> list[str]:
     aggregates = []
     for c in columns:
-        value = F.col(f"`{c}`")
-        aggregates += [
-            F.try_sum(exact(c, schema[c].dataType)).alias(f"sum:{c}"),
-            F.min(value).alias(f"min:{c}"),
-            F.max(value).alias(f"max:{c}"),
-        ]
+        value = tick(c)
+        aggregates += exactsum.sum_parts(value, f"sum:{c}", schema[c].dataType)
+        aggregates += [f"min({value}) AS {tick('min:' + c)}", f"max({value}) AS {tick('max:' + c)}"]
     return aggregates
 
 
-def _long_metrics(columns: Sequence[str]) -> Column:
-    """Wide aggregates as an array of (column_name, metric, value); the text of a value is exact."""
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(f"`{m}:{c}`").cast("string").alias("value")
-        )
-        for c in columns
-        for m in ("sum", "min", "max")
-    ]
-    return F.explode(F.array(*entries)).alias("m")
+def _agg(grouped: DataFrame | GroupedData, aggregates: Sequence[str]) -> DataFrame:
+    return grouped.agg(*[F.expr(a) for a in aggregates])
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _long_metrics(schema: T.StructType, columns: Sequence[str]) -> str:
+    """Wide aggregates as rows (column_name, metric, value); the text of a value is exact."""
+
+    def entry(c: str, metric: str, value: str) -> str:
+        return f"struct({_literal(c)} AS column_name, '{metric}' AS metric, CAST({value} AS STRING) AS value)"
+
+    entries = []
+    for c in columns:
+        entries.append(entry(c, "sum", exactsum.total(f"sum:{c}", schema[c].dataType)))
+        entries += [entry(c, m, tick(f"{m}:{c}")) for m in ("min", "max")]
+    return f"inline(array({', '.join(entries)}))"
 
 
 def checksums(src: DataFrame, tgt: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -195,8 +191,7 @@ def checksums(src: DataFrame, tgt: DataFrame, columns: Sequence[str] | None = No
         if not present:
             sides.append(frame(df.sparkSession, [], schema))
             continue
-        wide = df.agg(*_metric_aggregates(df.schema, present))
-        sides.append(wide.select(_long_metrics(present)).select("m.*"))
+        sides.append(_agg(df, _metric_aggregates(df.schema, present)).selectExpr(_long_metrics(df.schema, present)))
     both = _stack(*sides).groupBy("column_name", "metric").agg(
         F.max(_on_src(F.col("value"))).alias("src_value"), F.max(_on_tgt(F.col("value"))).alias("tgt_value")
     )
@@ -226,18 +221,14 @@ def _hashed(df: DataFrame, key: Sequence[str], columns: Sequence[str], hash_kind
     return df.select(*key, row, place) if key else df.select(row).select("_row", place)
 
 
-def _hash_sum(value: Column) -> Column:
-    return F.sum(value.cast("decimal(20,0)"))
-
-
 def fingerprint(
     df: DataFrame, buckets: int, key: Sequence[str] = (), columns: Sequence[str] | None = None, hash_kind: str = "fast"
 ) -> DataFrame:
     """(bucket, n_rows, fingerprint): order-free, the same for any partitioning, sensitive to duplicates."""
     rows = _hashed(df, key, columns or df.columns, hash_kind)
-    return rows.groupBy(hashing.bucket(F.col("_place"), buckets).alias("bucket")).agg(
-        F.count("*").alias("n_rows"), _hash_sum(F.col("_row")).alias("fingerprint")
-    )
+    grouped = rows.groupBy(hashing.bucket("_place", buckets).alias("bucket"))
+    summed = _agg(grouped, ["count(*) AS n_rows", *exactsum.lane_sums("_row", "hash")])
+    return summed.selectExpr("bucket", "n_rows", f"{exactsum.lane_total('hash')} AS fingerprint")
 
 
 def fingerprint_diff(
@@ -257,7 +248,7 @@ def fingerprint_diff(
     return per_bucket.withColumn("status", F.when(same, "OK").otherwise("DIFFERENT"))
 
 
-def _only_suspect(rows: DataFrame, suspects: DataFrame, place: Column, buckets: int) -> DataFrame:
+def _only_suspect(rows: DataFrame, suspects: DataFrame, place: str, buckets: int) -> DataFrame:
     """Rows whose bucket differs. The broadcast side has at most ``buckets`` integers."""
     marked = rows.withColumn("bucket", hashing.bucket(place, buckets))
     return marked.join(F.broadcast(suspects), "bucket", "left_semi").drop("bucket")
@@ -279,13 +270,18 @@ def row_diff(
     columns = src.columns
     rows = _stack(_hashed(src, key, columns, hash_kind), _hashed(tgt, key, columns, hash_kind))
     if buckets:
-        rows = _only_suspect(rows, _suspects(src, tgt, buckets, key, hash_kind), F.col("_place"), buckets)
-    per_key = rows.groupBy(*key).agg(
-        *_rows_per_side(), _hash_sum(_on_src(F.col("_row"))).alias("src_sum"), _hash_sum(_on_tgt(F.col("_row"))).alias("tgt_sum")
-    )
+        rows = _only_suspect(rows, _suspects(src, tgt, buckets, key, hash_kind), "_place", buckets)
+    balances = [
+        f"sum(CASE WHEN {SIDE} THEN {lane} ELSE -({lane}) END) AS {tick(name)}"
+        for lane, name in zip(exactsum.lanes("_row"), exactsum.lane_names("balance"))
+    ]
+    per_key = rows.groupBy(*key).agg(*_rows_per_side(), *[F.expr(b) for b in balances])
     s, t = F.col("n_src"), F.col("n_tgt")
+    differs = s != t
+    for name in exactsum.lane_names("balance"):
+        differs = differs | (F.col(f"`{name}`") != 0)
     return (
-        per_key.filter((s != t) | ~F.col("src_sum").eqNullSafe(F.col("tgt_sum")))
+        per_key.filter(differs)
         .withColumn("finding", F.when(t == 0, "ONLY_SOURCE").when(s == 0, "ONLY_TARGET").otherwise("CHANGED"))
         .select(*key, "n_src", "n_tgt", "finding")
     )
@@ -316,7 +312,7 @@ def multiset_diff(src: DataFrame, tgt: DataFrame, buckets: int | None = None, ha
     src, tgt = comparable(src), comparable(tgt)
     rows = _stack(src, tgt)
     if buckets:
-        place = hashing.row_hash(src.schema, columns, hash_kind)
+        place = hashing.HASHES[hash_kind](src.schema, columns)
         rows = _only_suspect(rows, _suspects(src, tgt, buckets, (), hash_kind), place, buckets)
     return rows.groupBy(*columns).agg(*_rows_per_side()).filter("n_src <> n_tgt")
 
@@ -342,45 +338,45 @@ def one_pass(
 
     def cells(df: DataFrame) -> DataFrame:
         row = hashing.row_hash(df.schema, src.columns, hash_kind)
-        place = hashing.row_hash(df.schema, list(key), hash_kind) if key else F.col("_row")
-        item = F.to_json(F.struct(*partition_by)) if partition_by else F.lit(None).cast("string")
-        needed = list(dict.fromkeys([*partition_by, *shared]))
-        rows = df.select(*df.columns, row.alias("_row")).select(
-            *needed, "_row", hashing.bucket(place, buckets).alias("bucket")
-        )
-        grouped = rows.groupBy(*partition_by, "bucket").agg(
-            F.count("*").alias("rows"), _hash_sum(F.col("_row")).alias("hash"), *_metric_aggregates(df.schema, shared)
-        )
-        return grouped.select(item.alias("part"), "bucket", "rows", "hash", *[f"`{m}:{c}`" for c in shared for m in ("sum", "min", "max")])
-
-    scopes = [F.struct(F.lit("table").alias("scope"), F.lit("all").alias("item"))]
-    scopes.append(F.struct(F.lit("bucket").alias("scope"), F.col("bucket").cast("string").alias("item")))
+        place = hashing.HASHES[hash_kind](df.schema, key) if key else "_row"
+        needed = [F.col(tick(c)) for c in dict.fromkeys([*partition_by, *shared])]
+        rows = df.select("*", row.alias("_row")).select(*needed, "_row", hashing.bucket(place, buckets).alias("_bucket"))
+        aggregates = ["count(*) AS rows", *exactsum.lane_sums("_row", "hash"), *_metric_aggregates(df.schema, shared)]
+        item = f"to_json(struct({', '.join(map(tick, partition_by))}))" if partition_by else "CAST(NULL AS STRING)"
+        return _agg(rows.groupBy(*partition_by, "_bucket"), aggregates).withColumn("_item", F.expr(item)).drop(*partition_by)
+
+    scopes = ["struct('table' AS scope, 'all' AS item)", "struct('bucket' AS scope, CAST(_bucket AS STRING) AS item)"]
     if partition_by:
-        scopes.append(F.struct(F.lit("partition").alias("scope"), F.col("part").alias("item")))
-    spread = _stack(cells(src), cells(tgt)).withColumn("s", F.explode(F.array(*scopes)))
-
-    def both(function: Callable[[Column], Column], name: str) -> list[Column]:
-        value = F.col(f"`{name}`")
-        return [function(_on_src(value)).alias(f"src|{name}"), function(_on_tgt(value)).alias(f"tgt|{name}")]
-
-    aggregates = [*both(F.sum, "rows"), *both(F.sum, "hash")]
-    for c in shared:
-        aggregates += [*both(F.try_sum, f"sum:{c}"), *both(F.min, f"min:{c}"), *both(F.max, f"max:{c}")]
-    totals = spread.groupBy("s.scope", "s.item").agg(*aggregates)
-
-    def entry(scope: str, name: str, metric: str) -> Column:
-        made = F.struct(
-            F.lit(metric).alias("metric"),
-            F.col(f"`src|{name}`").cast("string").alias("src_value"),
-            F.col(f"`tgt|{name}`").cast("string").alias("tgt_value"),
-        )
-        return F.when(F.col("scope") == scope, made)
+        scopes.append("struct('partition' AS scope, _item AS item)")
+    spread = _stack(cells(src), cells(tgt)).withColumn("_s", F.expr(f"explode(array({', '.join(scopes)}))"))
+
+    kinds = {c: (src.schema[c].dataType, tgt.schema[c].dataType) for c in shared}
+    merges = {"rows": "sum", **{n: "sum" for n in exactsum.lane_names("hash")}}
+    for c, both in kinds.items():
+        merges |= {n: exactsum.merge_function(n) for kind in both for n in exactsum.part_names(f"sum:{c}", kind)}
+        merges |= {f"min:{c}": "min", f"max:{c}": "max"}
+    merged = [
+        f"{function}(CASE WHEN {condition} THEN {tick(name)} END) AS {tick(f'{side}|{name}')}"
+        for name, function in merges.items()
+        for side, condition in (("src", SIDE), ("tgt", f"NOT {SIDE}"))
+    ]
+    totals = _agg(spread.groupBy("_s.scope", "_s.item"), merged)
+
+    def entry(scope: str, metric: str, src_value: str, tgt_value: str) -> str:
+        values = f"CAST({src_value} AS STRING) AS src_value, CAST({tgt_value} AS STRING) AS tgt_value"
+        return f"CASE WHEN scope = '{scope}' THEN struct({_literal(metric)} AS metric, {values}) END"
+
+    def plain(scope: str, metric: str, name: str) -> str:
+        return entry(scope, metric, tick(f"src|{name}"), tick(f"tgt|{name}"))
 
-    entries = [entry("table", "rows", "rows"), entry("bucket", "hash", "fingerprint"), entry("partition", "rows", "rows")]
-    entries += [entry("table", f"{m}:{c}", f"{m}({c})") for c in shared for m in ("sum", "min", "max")]
-    report = totals.select("scope", "item", F.explode(F.array_compact(F.array(*entries))).alias("m"))
+    entries = [plain("table", "rows", "rows"), plain("partition", "rows", "rows")]
+    entries.append(entry("bucket", "fingerprint", *[exactsum.lane_total("hash", side) for side in ("src|", "tgt|")]))
+    for c, (src_kind, tgt_kind) in kinds.items():
+        sums = exactsum.total(f"sum:{c}", src_kind, "src|"), exactsum.total(f"sum:{c}", tgt_kind, "tgt|")
+        entries += [entry("table", f"sum({c})", *sums), *[plain("table", f"{m}({c})", f"{m}:{c}") for m in ("min", "max")]]
+    report = totals.selectExpr("scope", "item", f"inline(array_compact(array({', '.join(entries)})))")
     same = F.col("src_value").eqNullSafe(F.col("tgt_value"))
-    return report.select("scope", "item", "m.*").withColumn("status", F.when(same, "OK").otherwise("MISMATCH"))
+    return report.withColumn("status", F.when(same, "OK").otherwise("MISMATCH"))
 
 
 # ---------------------------------------------------------------- completeness
