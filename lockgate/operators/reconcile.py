@@ -349,6 +349,9 @@ def one_pass(
     if partition_by:
         scopes.append("struct('partition' AS scope, _item AS item)")
     spread = _stack(cells(src), cells(tgt)).withColumn("_s", F.expr(f"explode(array({', '.join(scopes)}))"))
+    # Both sides count 0 to begin with, so that empty tables are reported too.
+    nothing = f"SELECT {SIDE}, 0L AS rows, struct('table' AS scope, 'all' AS item) AS _s FROM VALUES (true), (false) AS v({SIDE})"
+    spread = spread.unionByName(src.sparkSession.sql(nothing), allowMissingColumns=True)
 
     kinds = {c: (src.schema[c].dataType, tgt.schema[c].dataType) for c in shared}
     merges = {"rows": "sum", **{n: "sum" for n in exactsum.lane_names("hash")}}
