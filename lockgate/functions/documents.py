@@ -18,22 +18,19 @@ PERSON_SHAPE = r"\A\d{3}\.\d{3}\.\d{3}-\d{2}\z"
 COMPANY_SHAPE = r"\A\d{2}\.\d{3}\.\d{3}/\d{4}-\d{2}\z"
 
 
-def _person_digit(total: Column) -> Column:
+def _person_digit(total: str) -> str:
     """Ten times the sum modulo 11, where 10 counts as 0."""
-    return total * 10 % 11 % 10
+    return f"({total}) * 10 % 11 % 10"
 
 
-def _company_digit(total: Column) -> Column:
+def _company_digit(total: str) -> str:
     """What is missing to a multiple of 11, where 10 and 11 count as 0."""
-    return (F.lit(11) - total % 11) % 11 % 10
+    return f"(11 - ({total}) % 11) % 11 % 10"
 
 
 def _append_digit(df: DataFrame, digits: str, weights: list[int], rule) -> DataFrame:
-    terms = [F.substring(digits, i + 1, 1).cast("int") * w for i, w in enumerate(weights)]
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    return df.withColumn("_check", rule(total)).withColumn(digits, F.concat(digits, F.col("_check").cast("string"))).drop("_check")
+    total = " + ".join(f"{w} * CAST(substring({digits}, {i + 1}, 1) AS INT)" for i, w in enumerate(weights))
+    return df.withColumn(digits, F.expr(f"concat({digits}, CAST({rule(total)} AS STRING))"))
 
 
 def _completed(df: DataFrame, digits: str, base: Column, weights, rule) -> DataFrame:
@@ -47,9 +44,9 @@ def _completed(df: DataFrame, digits: str, base: Column, weights, rule) -> DataF
 def _printed(digits: str, groups: list[tuple[int, str]]) -> Column:
     parts, at = [], 1
     for width, tail in groups:
-        parts += [F.substring(digits, at, width), F.lit(tail)]
+        parts += [f"substring({digits}, {at}, {width})", f"'{tail}'"]
         at += width
-    return F.concat(*parts)
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def _with_number(df: DataFrame, name: str, base: Column, weights, rule, groups) -> DataFrame:

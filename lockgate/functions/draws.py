@@ -40,47 +40,60 @@ def with_state(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 class Draws:
-    """Draws for one table; every method takes the column name that keys its stream."""
+    """Draws for one table; every method takes the column name that keys its stream.
+
+    The arithmetic is composed as SQL text and parsed once per column.
+    """
 
     def __init__(self, table: str):
         self.table = table
 
-    def raw(self, column: str, step: Column | None = None) -> Column:
+    def raw_sql(self, column: str, step: str | None = None) -> str:
         """0 .. PRIME-1; ``step`` gives several draws per row."""
         offset = stream(self.table, column)
-        y = F.col(STATE) + offset
-        if step is not None:
-            y = y + step.cast("bigint") * STEP_FACTOR
-        y = y % PRIME
-        return (y * y % PRIME * COLUMN_FACTOR + offset) % PRIME
+        moved = f" + CAST({step} AS BIGINT) * {STEP_FACTOR}" if step else ""
+        y = f"(({STATE} + {offset}{moved}) % {PRIME})"
+        return f"(({y} * {y} % {PRIME} * {COLUMN_FACTOR} + {offset}) % {PRIME})"
 
-    def below(self, column: str, n: int, step: Column | None = None) -> Column:
+    def below_sql(self, column: str, n: int, step: str | None = None) -> str:
         """0 .. n-1. Wide ranges take a second draw, as one has 31 bits only."""
         if n <= PRIME // 16:
-            return self.raw(column, step) % n
-        return (self.raw(column, step) * WIDEN + self.raw(f"{column}+", step) % WIDEN) % n
+            return f"({self.raw_sql(column, step)} % {n})"
+        low = f"{self.raw_sql(column + '+', step)} % {WIDEN}"
+        return f"(({self.raw_sql(column, step)} * {WIDEN} + {low}) % {n})"
+
+    def randint_sql(self, column: str, low: int, high: int, step: str | None = None) -> str:
+        return f"({self.below_sql(column, high - low + 1, step)} + ({low}))"
+
+    def raw(self, column: str) -> Column:
+        return F.expr(self.raw_sql(column))
+
+    def below(self, column: str, n: int) -> Column:
+        return F.expr(self.below_sql(column, n))
+
+    def randint(self, column: str, low: int, high: int) -> Column:
+        return F.expr(self.randint_sql(column, low, high))
 
-    def randint(self, column: str, low: int, high: int, step: Column | None = None) -> Column:
-        return self.below(column, high - low + 1, step) + F.lit(low).cast("bigint")
+    def _pick(self, column: str, literals: Sequence[str]) -> Column:
+        place = f"CAST({self.below_sql(column, len(literals))} AS INT) + 1"
+        return F.expr(f"element_at(array({', '.join(literals)}), {place})")
 
     def choice(self, column: str, values: Sequence[str | None]) -> Column:
-        options = F.array(*[F.lit(v) for v in values])
-        return F.element_at(options, (self.below(column, len(values)) + 1).cast("int"))
+        return self._pick(column, ["NULL" if v is None else f"'{v}'" for v in values])
 
     def choice_int(self, column: str, values: Sequence[int]) -> Column:
-        options = F.array(*[F.lit(v).cast("bigint") for v in values])
-        return F.element_at(options, (self.below(column, len(values)) + 1).cast("int"))
+        return self._pick(column, [f"{v}L" for v in values])
 
-    def money(self, column: str, low: float, high: float, step: Column | None = None) -> Column:
+    def money(self, column: str, low: float, high: float) -> Column:
         """Uniform with two decimals, drawn in whole cents."""
-        return self.randint(column, round(low * 100), round(high * 100), step) / F.lit(100.0)
+        return F.expr(f"{self.randint_sql(column, round(low * 100), round(high * 100))} / 100.0D")
 
-    def flag(self, column: str, probability: float, step: Column | None = None) -> Column:
-        return self.below(column, 100_000, step) < round(probability * 100_000)
+    def flag(self, column: str, probability: float) -> Column:
+        return F.expr(f"{self.below_sql(column, 100_000)} < {round(probability * 100_000)}")
 
     def days_back(self, column: str, as_of: dt.date, most: int, least: int = 0) -> Column:
         """A date from ``most`` to ``least`` days before ``as_of``; negative days lie after it."""
-        return F.date_sub(F.lit(as_of), self.randint(column, least, most).cast("int"))
+        return F.expr(f"date_sub(DATE'{as_of}', CAST({self.randint_sql(column, least, most)} AS INT))")
 
     def between(self, column: str, start: Column, as_of: dt.date) -> Column:
         """A date from ``start`` to ``as_of``."""
@@ -96,15 +109,13 @@ class Draws:
         for i, run in enumerate(re.findall(r"#{1,6}|\?{1,6}|[^#?]+", text)):
             width = len(run)
             if run[0] == "#":
-                number = self.below(f"{column}/{i}", 10**width).cast("string")
-                parts.append(F.lpad(number, width, "0"))
+                parts.append(f"lpad(CAST({self.below_sql(f'{column}/{i}', 10**width)} AS STRING), {width}, '0')")
             elif run[0] == "?":
-                drawn = self.below(f"{column}/{i}", 26**width)
-                digits = (F.floor(drawn / 26**p) % 26 + 65 for p in range(width))
-                parts += [F.char(d) for d in digits]
+                drawn = self.below_sql(f"{column}/{i}", 26**width)
+                parts += [f"char({drawn} div {26**p} % 26 + 65)" for p in range(width)]
             else:
-                parts.append(F.lit(run))
-        return F.concat(*parts)
+                parts.append(f"'{run}'")
+        return F.expr(f"concat({', '.join(parts)})")
 
 
 def period(date: Column) -> Column:

@@ -26,37 +26,27 @@ def rewrite_refs(
     """
     cut = views.select(
         *key,
-        F.split(F.col(text), sqltext.REFERENCE, -1).alias("gaps"),
-        F.regexp_extract_all(F.col(text), F.lit(sqltext.REFERENCE), F.lit(0)).alias("refs"),
-    )
-    ref = cut.select(
-        *key,
-        F.element_at("gaps", -1).alias("tail"),
-        "gaps",
-        F.posexplode_outer("refs").alias("pos", "ref"),
+        F.split(F.col(text), sqltext.REFERENCE, -1).alias("gap"),
+        F.regexp_extract_all(F.col(text), F.lit(sqltext.REFERENCE), F.lit(0)).alias("ref"),
     )
+    # There is one gap more than references: the last row holds the end of the text and no reference.
+    piece = cut.select(*key, F.posexplode(F.arrays_zip("gap", "ref")).alias("pos", "p")).select(*key, "pos", "p.gap", "p.ref")
     ticked = F.col("ref").startswith("`")
-    ref = ref.select(
-        *key,
-        "tail",
-        "pos",
-        "ref",
-        F.get("gaps", F.col("pos")).alias("gap"),
-        F.when(ticked, F.regexp_extract("ref", sqltext.TICKED_PAIR, 1)).otherwise(F.substring_index("ref", ".", 1)).alias("db"),
-        F.when(ticked, F.regexp_extract("ref", sqltext.TICKED_PAIR, 2)).otherwise(F.substring_index("ref", ".", -1)).alias("tbl"),
+    named = piece.withColumns(
+        {
+            "db": F.when(ticked, F.regexp_extract("ref", sqltext.TICKED_PAIR, 1)).otherwise(F.substring_index("ref", ".", 1)),
+            "tbl": F.when(ticked, F.regexp_extract("ref", sqltext.TICKED_PAIR, 2)).otherwise(F.substring_index("ref", ".", -1)),
+        }
     )
     known = mapping.select(F.col("src_database").alias("db"), "tgt_schema")
-    joined = ref.join(known, "db", "left")
+    joined = named.join(known, "db", "left")
     moved = names.quoted(F.lit(catalog), F.coalesce("tgt_schema", "db"), F.col("tbl"))
     is_table = ticked & F.col("gap").rlike(sqltext.AFTER_FROM_OR_JOIN)
     new_ref = F.when(F.col("tgt_schema").isNotNull() | is_table, moved).otherwise(F.col("ref"))
-    piece = F.coalesce(F.concat("gap", new_ref), F.lit(""))
-    pieces = F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece"))))
-    return (
-        joined.groupBy(*key)
-        .agg(pieces.alias("pieces"), F.first("tail").alias("tail"))
-        .select(*key, F.concat(F.array_join(F.col("pieces.piece"), ""), F.col("tail")).alias("adapted"))
-    )
+    written = F.concat("gap", F.coalesce(new_ref, F.lit(""))).alias("written")
+    pieces = F.array_sort(F.collect_list(F.struct("pos", written))).alias("pieces")
+    whole = F.array_join(F.col("pieces.written"), "").alias("adapted")
+    return joined.groupBy(*key).agg(pieces).select(*key, whole)
 
 
 def _status(dry_run: bool) -> Column:

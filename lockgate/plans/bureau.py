@@ -273,14 +273,9 @@ def score_walk(months: int = MONTHS_OF_HISTORY) -> Column:
     The bounds make each score depend on the one before, so the walk folds over the months of one row.
     """
     d = Draws("score_historico")
-    empty = F.array().cast("array<bigint>")
-    start = F.struct(d.randint("start", 200, 900).alias("now"), empty.alias("path"))
-
-    def move(walk: Column, month: Column) -> Column:
-        now = F.least(F.greatest(walk["now"] + d.randint("walk", -40, 40, month), F.lit(0)), F.lit(1000)).cast("bigint")
-        return F.struct(now.alias("now"), F.concat(walk["path"], F.array(now)).alias("path"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(months)), start, move, lambda walk: walk["path"])
+    start = f"array({d.randint_sql('start', 200, 900)})"
+    now = f"least(greatest(element_at(path, -1) + {d.randint_sql('walk', -40, 40, 'm')}, 0L), 1000L)"
+    return F.expr(f"slice(aggregate(sequence(1, {months}), {start}, (path, m) -> concat(path, array({now}))), 2, {months})")
 
 
 def score_letter(score: Column) -> Column:

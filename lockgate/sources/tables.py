@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -139,7 +138,12 @@ def frame(spark: SparkSession, rows: Iterable, schema: StructType) -> DataFrame:
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """Stack frames by column name, pairwise, so that many frames do not make a deep plan."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:

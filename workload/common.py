@@ -17,13 +17,17 @@ class Tables:
     """The parquet tables of one directory by name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self._frames = spark, sf_dir, {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
 
     def sql(self, text: str) -> DataFrame:
         """SQL with {table} placeholders; the same text with plain names runs in the other engine."""
