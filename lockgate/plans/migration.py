@@ -97,7 +97,7 @@ def migrate(
             profile.columns(spark, {n: p[0] for n, p in pairs.items()}),
             profile.columns(spark, {n: p[1] for n, p in pairs.items()}),
         ),
-        findings=tables.union_all([none, *findings]),
+        findings=scratch.materialize(tables.union_all([none, *findings]), "findings"),
         unmigrated=reconcile.unmigrated(inv, log),
         rollback=rollback.plan(rollback.target_objects(inv, names), names),
     )

@@ -368,6 +368,11 @@ def q_recon_rollup(t: Tables) -> DataFrame:
     )
 
 
+@query("q_first_rows", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_custkey, o_orderkey LIMIT 20")
+def q_first_rows(t: Tables) -> DataFrame:
+    return reports.first_rows(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), 20, "o_custkey", "o_orderkey")
+
+
 # ---------------------------------------------------------------- analytic views
 
 
