@@ -91,16 +91,17 @@ def inventory(
     damaged file costs no more than its own row.
     """
 
-    def measure(source: TableSource) -> DataFrame:
+    def measure(source: TableSource) -> DataFrame | tuple:
         try:
             row = _measured(spark, source)
-            return tables.frame(spark, row.collect(), schemas.INVENTORY) if isolate else row
+            return tuple(row.first()) if isolate else row
         except Exception as error:  # noqa: BLE001 - one bad table must not end the scan
-            return tables.frame(spark, [_failed(source, error)], schemas.INVENTORY)
+            return _failed(source, error)
 
     with ThreadPoolExecutor(max_parallel) as pool:
-        rows = list(pool.map(measure, sources))
-    return tables.union_all([tables.frame(spark, [], schemas.INVENTORY), *rows])
+        found = list(pool.map(measure, sources))
+    known = tables.frame(spark, [f for f in found if isinstance(f, tuple)], schemas.INVENTORY)
+    return tables.union_all([known, *[f for f in found if isinstance(f, DataFrame)]])
 
 
 def catalog_sources(spark: SparkSession, databases: str = "") -> list[TableSource]:

@@ -133,8 +133,8 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 
 def frame(spark: SparkSession, rows: Iterable, schema: StructType) -> DataFrame:
-    """Driver rows (reports, small literals) as a DataFrame with a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """Driver rows (reports, small literals) as a DataFrame with a declared schema, in one partition."""
+    return spark.createDataFrame(list(rows), schema).coalesce(1)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
