@@ -63,21 +63,25 @@ def schema_diff(src_columns: DataFrame, tgt_columns: DataFrame) -> DataFrame:
             F.max(_on_tgt(F.col("data_type"))).alias("tgt_type"),
         )
     )
-    in_src, in_tgt, column = F.col("src_ordinal").isNotNull(), F.col("tgt_ordinal").isNotNull(), F.col("column_name")
-    differs = in_src & in_tgt & (normalized_type(F.col("src_type")) != normalized_type(F.col("tgt_type")))
-    detail = F.concat(F.lit("src="), "src_type", F.lit(" / tgt="), "tgt_type")
-
-    def ordered(ordinal: str) -> Column:
-        kept = F.when(in_src & in_tgt, F.struct(F.col(ordinal), column))
-        return F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["column_name"])
-
-    per_table = per_column.groupBy("table_name").agg(
-        F.count_if(in_src).alias("num_cols_src"),
-        F.count_if(in_tgt).alias("num_cols_tgt"),
-        F.array_sort(F.collect_list(F.when(in_src & ~in_tgt, column))).alias("missing_cols"),
-        F.array_sort(F.collect_list(F.when(in_tgt & ~in_src, column))).alias("extra_cols"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(differs, F.struct(column, detail))))).alias("type_mismatches"),
-        (ordered("src_ordinal") != ordered("tgt_ordinal")).alias("order_mismatch"),
+    differs = normalized_type(F.col("src_type")) != normalized_type(F.col("tgt_type"))
+    entry = F.struct("column_name", "src_ordinal", "tgt_ordinal", "src_type", "tgt_type", differs.alias("differs"))
+
+    def kept(condition: str, result: str) -> str:
+        return f"array_sort(transform(filter(cols, c -> {condition}), c -> {result}))"
+
+    def ordered(ordinal: str) -> str:
+        common = kept("c.src_ordinal IS NOT NULL AND c.tgt_ordinal IS NOT NULL", f"struct(c.{ordinal}, c.column_name)")
+        return f"transform({common}, c -> c.column_name)"
+
+    drift = "struct(c.column_name, concat('src=', c.src_type, ' / tgt=', c.tgt_type))"
+    per_table = per_column.groupBy("table_name").agg(F.collect_list(entry).alias("cols")).selectExpr(
+        "table_name",
+        "CAST(size(filter(cols, c -> c.src_ordinal IS NOT NULL)) AS BIGINT) AS num_cols_src",
+        "CAST(size(filter(cols, c -> c.tgt_ordinal IS NOT NULL)) AS BIGINT) AS num_cols_tgt",
+        f"{kept('c.tgt_ordinal IS NULL', 'c.column_name')} AS missing_cols",
+        f"{kept('c.src_ordinal IS NULL', 'c.column_name')} AS extra_cols",
+        f"map_from_entries({kept('c.differs', drift)}) AS type_mismatches",
+        f"{ordered('src_ordinal')} <> {ordered('tgt_ordinal')} AS order_mismatch",
     )
     issues = (
         (F.size("missing_cols") > 0) | (F.size("extra_cols") > 0) | (F.size("type_mismatches") > 0) | F.col("order_mismatch")
