@@ -1,5 +1,5 @@
 """What the operators share: whole texts as bytes inside Arrow tasks, word and shingle hashes, stored steps,
-a bounded key filter and connected components.
+a key filter of bounded size and connected components.
 
 Words are cut from UTF-8 bytes. ``bytes.split()`` cuts exactly at ``[\\x20\\x09-\\x0D]+`` and ``bytes.lower()``
 changes exactly A-Z, which is what the contracts of the operators ask for.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lockgate.sources import scratch
 
 MEMO_WORDS = 200_000
-FILTER_BITS = 1 << 23
+BUCKETS = 1 << 18
 SHINGLE = 5
 
 
@@ -85,38 +85,15 @@ def signature(shingle_set: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingle_set.tobytes())).astype(np.int64))
 
 
-def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of fixed size that holds every value of the one long column of ``keys``.
+def among(df: DataFrame, keys: DataFrame, name: str = "th") -> DataFrame:
+    """Rows of ``df`` whose long column ``name`` may be among ``keys``; every row that is among them stays.
 
-    It is or-ed together on the executors; the driver gets at most ``bits / 64`` numbers, however many keys there are.
+    A first filter before a join, so that texts nobody asks for are not shuffled. The keys fall into ``BUCKETS`` buckets,
+    so what is broadcast has at most that many integers, however many keys there are.
     """
-    (name,) = keys.columns
-    place = F.pmod(F.xxhash64(name), F.lit(bits))
-    words = (
-        keys.select((place / 64).cast("int").alias("word"), F.expr("shiftleft(1L, CAST(pmod(xxhash64(`%s`), 64) AS INT))" % name).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .collect()
-    )
-    found = np.zeros(bits // 64, np.int64)
-    for word, value in words:
-        found[word] = value
-    return found
-
-
-def among(df: DataFrame, name: str, found: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose long column ``name`` may be in the bitmap; all rows that are in it stay."""
-    spark, bits = df.sparkSession, len(found) * 64
-    shared = spark.sparkContext.broadcast(found)
-
-    @F.pandas_udf("boolean")
-    def may_hold(word, bit):
-        import pandas as pd
-
-        return pd.Series((shared.value[word.to_numpy()] >> bit.to_numpy()) & 1 == 1)
-
-    place = F.pmod(F.xxhash64(name), F.lit(bits))
-    return df.filter(may_hold((place / 64).cast("int"), F.pmod(F.xxhash64(name), F.lit(64))))
+    bucket = F.pmod(F.col(name), F.lit(BUCKETS)).cast("int").alias("bucket")
+    found = keys.select(bucket).distinct()
+    return df.withColumn("bucket", bucket).join(F.broadcast(found), "bucket", "left_semi").drop("bucket")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -238,10 +238,10 @@ def _check(rows: common.Batches) -> common.Batches:
 
 
 def similar(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of candidate pairs of classes (a, b) those that are linked. Only texts that a bitmap of fixed size admits are moved."""
+    """Of candidate pairs of classes (a, b) those that are linked. Only texts that a filter of bounded size admits are moved."""
     needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(classes.select("key", "th"), "key")
     needed = common.stored(needed, "needed")
-    texts = common.among(docs.select(F.xxhash64("text").alias("th"), "text").filter("text IS NOT NULL"), "th", common.bit_filter(needed.select("th")))
+    texts = common.among(docs.select(F.xxhash64("text").alias("th"), "text").filter("text IS NOT NULL"), needed)
     texts = common.stored(needed.join(texts, "th").groupBy("key").agg(F.first("text").alias("text")), "texts")
     side = {x: texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
     joined = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "text_a", "text_b")
