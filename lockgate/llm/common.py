@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lockgate.sources import scratch
@@ -96,6 +96,30 @@ def among(df: DataFrame, keys: DataFrame, name: str = "th") -> DataFrame:
     return df.withColumn("bucket", bucket).join(F.broadcast(found), "bucket", "left_semi").drop("bucket")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash of what tells rows apart; rows that are equal in id, text, language and source share it."""
+    return F.xxhash64(*[F.col(c) for c in ("text", "doc_id", "lang", "source") if c in docs.columns])
+
+
+def without(docs: DataFrame, gone: DataFrame, again: DataFrame | None = None) -> DataFrame:
+    """``docs`` less the rows whose key is in ``gone`` (rid), and with one of each whose key is in ``again`` (rid).
+
+    Rows in none of the at most ``BUCKETS`` buckets of those keys pass without a shuffle; only the rest is joined.
+    """
+    gone = gone.select("rid").distinct()
+    touched = gone if again is None else gone.union(again.select("rid").distinct())
+    bucket = F.pmod(F.col("rid"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    buckets = stored(touched.select(bucket).distinct(), "buckets")
+    keyed = docs.select(F.struct("*").alias("row"), row_key(docs).alias("rid")).withColumn("bucket", bucket)
+    apart = keyed.join(F.broadcast(buckets), "bucket", "left_anti").select("row")
+    near = keyed.join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket").join(gone, "rid", "left_anti")
+    if again is None:
+        return apart.union(near.select("row")).select("row.*")
+    once = near.join(again.select("rid").distinct(), "rid", "left_semi").groupBy("rid").agg(F.first("row").alias("row"))
+    others = near.join(again.select("rid").distinct(), "rid", "left_anti")
+    return apart.union(others.select("row")).union(once.select("row")).select("row.*")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the undirected ``edges`` (a, b): the smallest node it is connected with.
 

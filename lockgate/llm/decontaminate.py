@@ -117,6 +117,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, lists
     )
 
 
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item."""
+    found = occurrences(documents(docs), test_items(items)).select("th").distinct()
+    keys = common.among(docs.select(common.row_key(docs).alias("rid"), F.xxhash64("text").alias("th")), found).join(found, "th", "left_semi")
+    return common.without(docs, common.stored(keys.select("rid").distinct(), "contaminated"))
+
+
 def near(docs: DataFrame, queries: DataFrame, span: int) -> DataFrame:
     """Proximity matches: th, query_id and first_word wherever all ``terms`` of a query lie within ``span`` words.
 

@@ -57,7 +57,7 @@ def prefix_lengths(a: int) -> tuple[int, int]:
 
 
 _BITS = [f"b{i}" for i in range(WORDS)]
-PROFILE = "doc_id long, th long, n long, sig long, " + ", ".join(f"{b} long" for b in _BITS) + ", chunk int, counts binary"
+PROFILE = "doc_id long, rid long, th long, n long, sig long, " + ", ".join(f"{b} long" for b in _BITS) + ", chunk int, counts binary"
 LISTED = "h long, salt int, key long, n long, small boolean, low long"
 CHECK_COST = 8
 
@@ -73,7 +73,7 @@ def _profile(rows: common.Batches) -> common.Batches:
     names = [f.split()[0] for f in PROFILE.split(", ")]
     for batch in rows:
         n, sig, bits = [], [], np.zeros((batch.num_rows, WORDS), np.int64)
-        for i, text in enumerate(common.texts(batch.column(2))):
+        for i, text in enumerate(common.texts(batch.column(3))):
             found = np.unique(common.shingles(ids.of(text.lower().split())))
             n.append(len(found))
             sig.append(common.signature(found))
@@ -81,13 +81,13 @@ def _profile(rows: common.Batches) -> common.Batches:
                 bits[i] = _parity(found)
                 np.add.at(counts, (found >> np.uint64(40)).astype(np.int64) & (COUNTERS - 1), 1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sig, pa.int64())]
+            [batch.column(0), batch.column(1), batch.column(2), pa.array(n, pa.int64()), pa.array(sig, pa.int64())]
             + [pa.array(bits[:, k]) for k in range(WORDS)]
             + [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())],
             names,
         )
     parts = counts.reshape(-1, CHUNK)
-    none = [pa.nulls(len(parts), pa.int64())] * (4 + WORDS)
+    none = [pa.nulls(len(parts), pa.int64())] * (5 + WORDS)
     yield pa.RecordBatch.from_arrays(
         [*none, pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names
     )
@@ -254,14 +254,17 @@ _POSSIBLE = f"4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n) AND {DEN} * ({_DISTA
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs``."""
+    """(doc_id, rid, n_shingles, component_id, stays) for each row of ``docs``.
+
+    ``stays`` marks one row key of each component: of the smallest id, a null id last. Rows without words all stay.
+    """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profile = common.stored(docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(_profile, PROFILE), "profile")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.row_key(docs).alias("rid"), F.col(text_col).alias("text"))
+    profile = common.stored(docs.select("doc_id", "rid", F.xxhash64("text").alias("th"), "text").mapInArrow(_profile, PROFILE), "profile")
     counts = counters(profile)
     rows = profile.filter("chunk IS NULL")
     classes = common.stored(
-        rows.filter("n > 0").groupBy(F.col("sig").alias("key")).agg(F.min("doc_id").alias("least_id"), F.min("th").alias("th"), F.min("n").alias("n"), *[F.min(b).alias(b) for b in _BITS]),
+        rows.filter("n > 0").groupBy(F.col("sig").alias("key")).agg(F.min(_first_row()).alias("least"), F.min("th").alias("th"), F.min("n").alias("n"), *[F.min(b).alias(b) for b in _BITS]),
         "classes",
     )
     usual = max(1.0, float(np.median(counts)))
@@ -313,16 +316,52 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     higher = common.components(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
 
     found = (
-        classes.select("key", "least_id")
+        classes.select("key", "least")
         .join(labels.toDF("key", "label"), "key", "left")
         .withColumn("label", F.coalesce("label", "key"))
         .join(higher.toDF("label", "top"), "label", "left")
         .withColumn("top", F.coalesce("top", "label"))
     )
-    smallest = found.groupBy("top").agg(F.min("least_id").alias("component_id"))
-    of_class = found.select("key", "top").join(smallest, "top").select("key", "component_id")
+    smallest = found.groupBy("top").agg(F.min("least").alias("least"))
+    of_class = found.select("key", "top").join(smallest, "top").select("key", "least")
     return (
-        rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("sig").alias("key"))
+        rows.select("doc_id", "rid", F.col("n").alias("n_shingles"), F.col("sig").alias("key"))
         .join(of_class, "key", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        .select(
+            "doc_id",
+            "rid",
+            "n_shingles",
+            F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            ((F.col("n_shingles") == 0) | (F.col("least.rid") == F.col("rid"))).alias("stays"),
+        )
     )
+
+
+def _first_row():
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one row of each component; rows without words stay."""
+    found = common.stored(join(docs), "components")
+    gone = found.filter("NOT stays").select("rid")
+    again = found.filter("stays AND n_shingles > 0").groupBy("rid").count().filter("count > 1").select("rid")
+    return common.without(docs, gone, again)
+
+
+#: The same links and components in DuckDB, by all pairs that share a shingle.
+ORACLE = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' ')) END) AS shingle
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 75 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""

@@ -81,11 +81,11 @@ def _memberships(shared, names: list[str]):
     def step(rows: common.Batches) -> common.Batches:
         model = shared.value
         for batch in rows:
-            texts = common.texts(batch.column(1))
+            texts = common.texts(batch.column(2))
             p = model.posteriors(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t.split()) for t in texts], pa.int64()), *[pa.array(p[:, k]) for k in range(p.shape[1])]],
-                ["doc_id", "n_tokens", *names],
+                [batch.column(0), batch.column(1), pa.array([len(t.split()) for t in texts], pa.int64()), *[pa.array(p[:, k]) for k in range(p.shape[1])]],
+                ["doc_id", "rid", "n_tokens", *names],
             )
 
     return step
@@ -142,17 +142,17 @@ def mix(
     rows_each: int = ROWS_EACH,
     seed: int = 11,
 ) -> DataFrame:
-    """doc_id, n_tokens, the posteriors ``p_<domain>``, ``rate`` and ``n_copies`` for each row.
+    """doc_id, rid, n_tokens, the posteriors ``p_<domain>``, ``rate`` and ``n_copies`` for each row.
 
     ``targets`` are shares of the mixed corpus. Its size is such that the domain with the largest share keeps all the
-    tokens it is expected to have, times ``max_rate``. ``n_copies`` is the rate rounded up or down by a hash of the id.
+    tokens it is expected to have, times ``max_rate``. ``n_copies`` is the rate rounded up or down by a hash of the row.
     """
     spark = docs.sparkSession
     model = train(docs, labels, domains, rows_each)
     names = [f"p_{n}" for n in model.names]
     shared = spark.sparkContext.broadcast(model)
-    schema = "doc_id long, n_tokens long, " + ", ".join(f"{n} double" for n in names)
-    rows = common.stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_memberships(shared, names), schema), "memberships")
+    schema = "doc_id long, rid long, n_tokens long, " + ", ".join(f"{n} double" for n in names)
+    rows = common.stored(docs.select(F.col("doc_id").cast("long"), common.row_key(docs).alias("rid"), "text").mapInArrow(_memberships(shared, names), schema), "memberships")
     has = rows.agg(F.sum("n_tokens"), *[F.sum(F.col("n_tokens") * F.col(n)) for n in names]).first()
     share = np.array([targets[n] for n in model.names], float)
     total = float(has[0] or 0)
@@ -166,6 +166,6 @@ def mix(
             rate = _rates(_matrix(batch, names), gradients, max_rate)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
 
-    draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
+    draw = F.pmod(F.xxhash64("rid", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
     rated = rows.mapInArrow(step, schema + ", rate double")
     return rated.withColumn("n_copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))

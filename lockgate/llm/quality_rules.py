@@ -37,6 +37,7 @@ MAX_STEPS = 8
 CUT = 33.4
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+COUNTS = [c.split()[0] for c in BASE.split(", ")]
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -75,18 +76,15 @@ _STARTS = bytes(b for b in range(256) if b & 0xC0 != 0x80)
 def _statistics(rows: common.Batches) -> common.Batches:
     ids = common.WordIds()
     for batch in rows:
-        found = [text_statistics(t, ids) for t in common.texts(batch.column(3))]
+        found = [text_statistics(t, ids) for t in common.texts(batch.column(batch.num_columns - 1))]
         columns = list(zip(*found)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), *[pa.array(c, pa.int64()) for c in columns]],
-            ["doc_id", "lang", "source", *[c.split()[0] for c in BASE.split(", ")]],
-        )
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(c, pa.int64()) for c in columns]], [*batch.schema.names[:-1], *COUNTS])
 
 
 def base_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the five counts and ``base_failed``."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), "text")
-    rows = rows.mapInArrow(_statistics, f"doc_id long, lang string, source string, {BASE}")
+    """doc_id, rid, lang, source, the five counts and ``base_failed``."""
+    rows = docs.select(F.col("doc_id").cast("long"), common.row_key(docs).alias("rid"), F.col("lang").cast("string"), F.col("source").cast("string"), "text")
+    rows = rows.mapInArrow(_statistics, f"doc_id long, rid long, lang string, source string, {BASE}")
     return rows.withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
 
 
@@ -197,12 +195,12 @@ def fit(rows: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """One row per document: the counts, ``base_failed``, ``distance`` (null if not measured) and ``kept``."""
+    """One row per document: the counts, ``base_failed``, ``distance`` (null if not measured), ``kept`` and the row key ``rid``."""
     rows = common.stored(base_statistics(docs), "statistics")
     passed = rows.filter("NOT base_failed").withColumns({k: F.expr(e) for k, e in _FEATURES.items()})
     passed = _grouped(passed)
     model = fit(common.stored(passed.select("g", *_FEATURES), "vectors"))
     judged = _with_distance(passed, model.drop("log_det")).withColumn("kept", F.expr(f"all_n < {MIN_ROWS} OR d2 <= {CUT}"))
-    columns = ["doc_id", *[c.split()[0] for c in BASE.split(", ")], "base_failed"]
+    columns = ["doc_id", "rid", *COUNTS, "base_failed"]
     failed = rows.filter("base_failed").select(*columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance"))
     return judged.select(*columns, F.coalesce("kept", F.lit(True)).alias("kept"), F.sqrt("d2").alias("distance")).unionByName(failed)
