@@ -20,6 +20,7 @@ from lockgate.sources import scratch
 MEMO_WORDS = 200_000
 BUCKETS = 1 << 18
 SHINGLE = 5
+Batches = Iterator[pa.RecordBatch]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +97,38 @@ def among(df: DataFrame, keys: DataFrame, name: str = "th") -> DataFrame:
     return df.withColumn("bucket", bucket).join(F.broadcast(found), "bucket", "left_semi").drop("bucket")
 
 
+CHUNK = 1 << 14
+
+
+def chunks(counts: np.ndarray) -> pa.RecordBatch:
+    """A table of counts as rows (chunk, counts)."""
+    parts = counts.reshape(-1, CHUNK)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "counts"]
+    )
+
+
+def _sum_chunks(rows: Batches) -> Batches:
+    sums: dict[int, np.ndarray] = {}
+    for batch in rows:
+        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            one = np.frombuffer(counts, np.int64)
+            sums[chunk] = sums[chunk] + one if chunk in sums else one
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "counts"]
+    )
+
+
+def summed(rows: DataFrame, counters: int) -> np.ndarray:
+    """The sum of all tasks' tables of counts (chunk, counts): a fixed size, whatever the corpus holds."""
+    schema = "chunk int, counts binary"
+    rows = rows.repartition("chunk", F.floor(F.rand(7) * 16)).mapInArrow(_sum_chunks, schema)
+    total = np.zeros((counters // CHUNK, CHUNK), np.int64)
+    for chunk, counts in rows.repartition("chunk").mapInArrow(_sum_chunks, schema).collect():
+        total[chunk] += np.frombuffer(counts, np.int64)
+    return total.reshape(-1)
+
+
 def row_key(docs: DataFrame) -> Column:
     """A hash of what tells rows apart; rows that are equal in id, text, language and source share it."""
     return F.xxhash64(*[F.col(c) for c in ("text", "doc_id", "lang", "source") if c in docs.columns])
@@ -142,5 +175,3 @@ def components(edges: DataFrame) -> DataFrame:
             return jumped.select("node", "label")
         labels = jumped.select("node", "label")
 
-
-Batches = Iterator[pa.RecordBatch]

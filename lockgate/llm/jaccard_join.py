@@ -35,7 +35,6 @@ from lockgate.llm import common
 
 NUM, DEN = 3, 7  # a link of sizes a and b needs an overlap of at least 3 / 7 of a + b: the same as a Jaccard similarity of 3 / 4
 COUNTERS = 1 << 18
-CHUNK = 1 << 14
 WORDS = 16  # of 64 bits in a parity bitmap
 LARGEST_LIGHT = 14
 SALT_ROWS = 50_000
@@ -86,32 +85,8 @@ def _profile(rows: common.Batches) -> common.Batches:
             + [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())],
             names,
         )
-    parts = counts.reshape(-1, CHUNK)
-    none = [pa.nulls(len(parts), pa.int64())] * (5 + WORDS)
-    yield pa.RecordBatch.from_arrays(
-        [*none, pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names
-    )
-
-
-def _sum_chunks(rows: common.Batches) -> common.Batches:
-    sums: dict[int, np.ndarray] = {}
-    for batch in rows:
-        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            one = np.frombuffer(counts, np.int64)
-            sums[chunk] = sums[chunk] + one if chunk in sums else one
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "counts"]
-    )
-
-
-def counters(profile: DataFrame) -> np.ndarray:
-    """The sum of all tasks' tables of counts: a fixed size, whatever the corpus holds."""
-    rows = profile.filter("chunk IS NOT NULL").select("chunk", "counts")
-    rows = rows.repartition("chunk", F.floor(F.rand(7) * 16)).mapInArrow(_sum_chunks, "chunk int, counts binary")
-    total = np.zeros((COUNTERS // CHUNK, CHUNK), np.int64)
-    for chunk, counts in rows.repartition("chunk").mapInArrow(_sum_chunks, "chunk int, counts binary").collect():
-        total[chunk] += np.frombuffer(counts, np.int64)
-    return total.reshape(-1)
+    table = common.chunks(counts)
+    yield pa.RecordBatch.from_arrays([pa.nulls(table.num_rows, pa.int64())] * (5 + WORDS) + table.columns, names)
 
 
 def _subset_plan(a: int, boundary: int) -> list[tuple[int, int, int]]:
@@ -261,7 +236,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.row_key(docs).alias("rid"), F.col(text_col).alias("text"))
     profile = common.stored(docs.select("doc_id", "rid", F.xxhash64("text").alias("th"), "text").mapInArrow(_profile, PROFILE), "profile")
-    counts = counters(profile)
+    counts = common.summed(profile.filter("chunk IS NOT NULL").select("chunk", "counts"), COUNTERS)
     rows = profile.filter("chunk IS NULL")
     classes = common.stored(
         rows.filter("n > 0").groupBy(F.col("sig").alias("key")).agg(F.min(_first_row()).alias("least"), F.min("th").alias("th"), F.min("n").alias("n"), *[F.min(b).alias(b) for b in _BITS]),
@@ -352,11 +327,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 #: The same links and components in DuckDB, by all pairs that share a shingle.
 ORACLE = """
 WITH RECURSIVE d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' ')) END) AS shingle
+    ELSE [array_to_string(list_slice(w, i, i + 4), ' ') FOR i IN range(1, len(w) - 3)] END) AS shingle
   FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),

@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lockgate.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding
+from lockgate.llm import (
+    decontaminate,
+    jaccard_join,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    token_counts,
+    url_filter,
+    warc,
+)
 from lockgate.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rid")
 
@@ -17,10 +34,26 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("item_ids")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"), least=0)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("rid")
 
@@ -30,5 +63,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_decontamination, op5_sharding, op9_quality_rules, op10_jaccard_join)}
-ORACLES = {"op3_decontamination": decontaminate.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_mixing,
+        op3_decontamination,
+        op4_warc,
+        op5_sharding,
+        op6_quality_classifier,
+        op7_url_filter,
+        op8_substring_dedup,
+        op9_quality_rules,
+        op10_jaccard_join,
+    )
+}
+ORACLES = {
+    "op3_decontamination": decontaminate.ORACLE,
+    "op4_warc": warc.ORACLE,
+    "op7_url_filter": url_filter.ORACLE,
+    "op10_jaccard_join": jaccard_join.ORACLE,
+}
