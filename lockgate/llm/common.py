@@ -97,23 +97,24 @@ def among(df: DataFrame, keys: DataFrame, name: str = "th") -> DataFrame:
     return df.withColumn("bucket", bucket).join(F.broadcast(found), "bucket", "left_semi").drop("bucket")
 
 
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 
 
 def chunks(counts: np.ndarray) -> pa.RecordBatch:
-    """A table of counts as rows (chunk, counts)."""
-    parts = counts.reshape(-1, CHUNK)
+    """A task's table of counts as rows (chunk, counts), one byte for each; 255 stands for as many or more."""
+    parts = np.minimum(counts, 255).astype(np.uint8).reshape(-1, CHUNK)
     return pa.RecordBatch.from_arrays(
         [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "counts"]
     )
 
 
 def _sum_chunks(rows: Batches) -> Batches:
+    """Sums of four bytes for each count, from rows of one byte or of four."""
     sums: dict[int, np.ndarray] = {}
     for batch in rows:
         for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            one = np.frombuffer(counts, np.int64)
-            sums[chunk] = sums[chunk] + one if chunk in sums else one
+            one = np.frombuffer(counts, np.uint8 if len(counts) == CHUNK else np.uint32)
+            sums[chunk] = np.add(sums.get(chunk, 0), one, dtype=np.uint32)
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "counts"]
     )
@@ -122,10 +123,10 @@ def _sum_chunks(rows: Batches) -> Batches:
 def summed(rows: DataFrame, counters: int) -> np.ndarray:
     """The sum of all tasks' tables of counts (chunk, counts): a fixed size, whatever the corpus holds."""
     schema = "chunk int, counts binary"
-    rows = rows.repartition("chunk", F.floor(F.rand(7) * 16)).mapInArrow(_sum_chunks, schema)
+    rows = rows.repartition("chunk", F.floor(F.rand(7) * 4)).mapInArrow(_sum_chunks, schema)
     total = np.zeros((counters // CHUNK, CHUNK), np.int64)
     for chunk, counts in rows.repartition("chunk").mapInArrow(_sum_chunks, schema).collect():
-        total[chunk] += np.frombuffer(counts, np.int64)
+        total[chunk] += np.frombuffer(counts, np.uint32)
     return total.reshape(-1)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lockgate.llm import common
 
 NUM, DEN = 3, 7  # a link of sizes a and b needs an overlap of at least 3 / 7 of a + b: the same as a Jaccard similarity of 3 / 4
-COUNTERS = 1 << 18
+COUNTERS = 1 << 22
 WORDS = 16  # of 64 bits in a parity bitmap
 LARGEST_LIGHT = 14
 SALT_ROWS = 50_000
@@ -68,7 +68,7 @@ def _parity(shingle_set: np.ndarray) -> np.ndarray:
 
 def _profile(rows: common.Batches) -> common.Batches:
     """One row for each text, then this task's table of counts."""
-    ids, counts = common.WordIds(), np.zeros(COUNTERS, np.int64)
+    ids, counts = common.WordIds(), np.zeros(COUNTERS, np.uint32)
     names = [f.split()[0] for f in PROFILE.split(", ")]
     for batch in rows:
         n, sig, bits = [], [], np.zeros((batch.num_rows, WORDS), np.int64)
@@ -147,7 +147,7 @@ def _entries(shared, boundary: int):
                     counter = _counter(found)
                     probe, index = prefix_lengths(size)
                     order = np.argsort(rank[counter], kind="stable")[:probe]  # within a rank by hash: the set is sorted
-                    salts = (name % (1 + excess[counter[order]] // SALT_ROWS)).astype(np.int32)
+                    salts = (name % (1 + excess[counter[order]].astype(np.int64) // SALT_ROWS)).astype(np.int32)
                     add(found[order], salts, name, size, np.arange(len(order)) < index, 0)
             if h:
                 columns = [np.concatenate(c) for c in (h, salt, key, n, small, low)]
@@ -245,7 +245,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     usual = max(1.0, float(np.median(counts)))
     rank = np.floor(4 * np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
     excess = np.maximum(0, counts - 2 * int(usual))
-    shared = spark.sparkContext.broadcast((rank, excess))
+    shared = spark.sparkContext.broadcast((rank, excess.astype(np.uint32)))
     mean_list = max(1.0, float((excess.astype(float) ** 2).sum() / max(1, counts.sum())) ** 0.5)
     sizes = {int(n): int(c) for n, c in classes.filter(F.col("n") <= 2 * LARGEST_LIGHT).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, mean_list)
