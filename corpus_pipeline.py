@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lockgate.llm import common, decontaminate, jaccard_join, mixing, quality_rules, sharding
 
+DOMAINS = {"clean": "toxic = 0", "toxic": "toxic = 1"}
+TARGETS = {"clean": 0.99, "toxic": 0.01}
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = common.stored(quality_rules.judge(docs), "judged")
@@ -30,8 +33,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """At most one copy of a row, so rates end at 1; the domain with the largest target keeps all of its tokens."""
-    rated = common.stored(mixing.mix(docs, common.table(spark, sf_dir, "labels"), max_rate=1.0), "rated")
+    """Poor rows are gone by now, so the domains are clean and toxic text; at most one copy of a row, so rates end at 1.
+
+    The clean domain has the largest target and keeps all of its tokens.
+    """
+    labels = common.table(spark, sf_dir, "labels")
+    rated = common.stored(mixing.mix(docs, labels, domains=DOMAINS, targets=TARGETS, max_rate=1.0), "rated")
     return common.without(docs, rated.filter("n_copies = 0").select("rid"))
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from lockgate.sources import scratch
 
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
+SLICE = 500
 BUCKETS = 1 << 18
 SHINGLE = 5
 Batches = Iterator[pa.RecordBatch]
@@ -32,6 +33,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return scratch.materialize(df, label)
 
 
+def slices(rows: Batches) -> Batches:
+    """The same rows in batches of at most ``SLICE``, so that what a worker holds besides its Arrow batch stays small."""
+    for batch in rows:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes; null becomes empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -70,7 +70,7 @@ def _profile(rows: common.Batches) -> common.Batches:
     """One row for each text, then this task's table of counts."""
     ids, counts = common.WordIds(), np.zeros(COUNTERS, np.uint32)
     names = [f.split()[0] for f in PROFILE.split(", ")]
-    for batch in rows:
+    for batch in common.slices(rows):
         n, sig, bits = [], [], np.zeros((batch.num_rows, WORDS), np.int64)
         for i, text in enumerate(common.texts(batch.column(3))):
             found = np.unique(common.shingles(ids.of(text.lower().split())))
@@ -116,7 +116,7 @@ def _entries(shared, boundary: int):
     def step(rows: common.Batches) -> common.Batches:
         ids, seen = common.WordIds(), set()
         rank, excess = shared.value
-        for batch in rows:
+        for batch in common.slices(rows):
             h, salt, key, n, small, low = [], [], [], [], [], []
 
             def add(hashes, salts, name, size, smaller, low_size, h=h, salt=salt, key=key, n=n, small=small, low=low):
@@ -202,7 +202,7 @@ def _check(rows: common.Batches) -> common.Batches:
                 one, of = np.unique(common.shingles(ids.of(text.lower().split()))), name
             yield one
 
-    for batch in rows:
+    for batch in common.slices(rows):
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         kept = []
         for i, (x, y) in enumerate(zip(sets(batch.column(2), a), sets(batch.column(3), b))):

@@ -102,7 +102,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows_each))
 
     def step(rows: common.Batches) -> common.Batches:
-        for batch in rows:
+        for batch in common.slices(rows):
             scores = shared.value.scores(common.texts(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(scores, 0, 1))], ["doc_id", "score"])
 

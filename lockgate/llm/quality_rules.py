@@ -75,7 +75,7 @@ _STARTS = bytes(b for b in range(256) if b & 0xC0 != 0x80)
 
 def _statistics(rows: common.Batches) -> common.Batches:
     ids = common.WordIds()
-    for batch in rows:
+    for batch in common.slices(rows):
         found = [text_statistics(t, ids) for t in common.texts(batch.column(batch.num_columns - 1))]
         columns = list(zip(*found)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(c, pa.int64()) for c in columns]], [*batch.schema.names[:-1], *COUNTS])

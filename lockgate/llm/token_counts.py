@@ -149,7 +149,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "
 
     def step(rows: common.Batches) -> common.Batches:
         count = counter(path).count
-        for batch in rows:
+        for batch in common.slices(rows):
             texts = common.texts(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, texts), pa.int64()), pa.array([count(t.decode()) for t in texts], pa.int64())],
