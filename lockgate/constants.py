@@ -50,7 +50,6 @@ TYPE_ALIASES = {"int": "integer", "long": "bigint", "float": "real", "bool": "bo
 # Limits on names and texts in reports.
 MAX_NAME = 255
 MAX_LOCATION_NAME = 127
-MAX_SNIPPET = 500
 MAX_ERROR = 500
 MAX_INTEGRITY_ERROR = 200
 

@@ -89,7 +89,7 @@ def view_refs(views: DataFrame) -> DataFrame:
             F.col("table_name").alias("view_name"),
             F.col("ref.db").alias("ref_database"),
             F.col("ref.tbl").alias("ref_table"),
-            F.substring("ddl", 1, K.MAX_SNIPPET).alias("ddl_snippet"),
+            F.col("ddl").alias("ddl_snippet"),
         )
     )
 

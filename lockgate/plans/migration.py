@@ -48,6 +48,16 @@ def _stored_path(options: Options, row: Row) -> str:
     return move.target_path(options.base_path, schema, table)
 
 
+def _refuse_collisions(rows: Sequence[Row]) -> None:
+    """Two sources with one target would be merged into one folder; nothing is copied then."""
+    by_target: dict[str, list[str]] = {}
+    for row in rows:
+        by_target.setdefault(row["tgt_table"].lower(), []).append(row["src_table"])
+    merged = {k: v for k, v in by_target.items() if len(v) > 1}
+    if merged:
+        raise ValueError(f"several tables have one target: {merged}")
+
+
 def migrate(
     spark: SparkSession,
     sources: Sequence[TableSource],
@@ -65,6 +75,7 @@ def migrate(
     names = mapping.schema_mapping(inv, options.catalog, dry_run=options.dry_run)
     todo = move.worklist(inv, names, options.catalog, databases=options.databases, table_names=options.table_names)
     rows = todo.collect()
+    _refuse_collisions(rows)
 
     def act(row: Row) -> Moved:
         source = by_name[row["src_table"]]

@@ -246,3 +246,18 @@ def test_unmigrated(spark):
     inv = spark.createDataFrame([("d", "a", "MANAGED", "parquet", False), ("d", "b", "VIEW", "", False)], "database_name string, table_name string, object_type string, data_provider string, is_delta boolean")
     log = spark.createDataFrame([("d.a", "SUCCESS"), ("d.b", "ERROR")], "src_table string, status string")
     assert [r.src_table for r in R.unmigrated(inv, log).collect()] == ["d.b"]
+
+
+def test_default_hash_sees_nulls_inside_nested_values(spark):
+    schema = "id int, a array<int>, s struct<a: int, b: int>, m array<map<string, int>>"
+    left = spark.createDataFrame([(1, [1, None], (1, None), [{"x": 1, "y": 2}])], schema)
+    right = spark.createDataFrame([(1, [1], (None, 1), [{"y": 2, "x": 1}])], schema)
+    for one in ("a", "s"):
+        assert R.row_diff(left.select("id", one), right.select("id", one), ["id"]).count() == 1
+    assert R.row_diff(left.select("id", "m"), right.select("id", "m"), ["id"]).count() == 0
+
+
+def test_a_sample_that_could_hold_nothing_is_refused(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.raises(ValueError):
+        R.sampled_hash(df, df, ["id"], 1e-7)

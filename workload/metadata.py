@@ -234,7 +234,7 @@ PAIR = "`([^`]+)`\\.`([^`]+)`"
 @query(
     "q_view_refs",
     f"""SELECT database_name AS view_database, table_name AS view_name, regexp_extract(ref, '{PAIR}', 1) AS ref_database,
-regexp_extract(ref, '{PAIR}', 2) AS ref_table, substr(ddl, 1, 500) AS ddl_snippet
+regexp_extract(ref, '{PAIR}', 2) AS ref_table, ddl AS ddl_snippet
 FROM (SELECT *, unnest(regexp_extract_all(ddl, '{PAIR}', 0)) AS ref FROM ({duck(D.VIEWS)}))
 WHERE regexp_extract(ref, '{PAIR}', 1) <> database_name""",
 )
