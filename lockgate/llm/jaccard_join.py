@@ -14,7 +14,9 @@ Each text is the set of its 5-word shingles. Texts with equal sets form one clas
 Pairs inside a list are never all made. First each list's smallest set is held against the others, and linked classes are
 joined to components. Then only sets outside the largest component of a list are held against the rest of it, if sizes
 and 1024-bit parity bitmaps (a lower bound of the symmetric difference) allow a link. A pair in one component needs
-no test, so no link between components is lost. Candidates are checked on the whole texts with integers only.
+no test, so no link between components is lost. Bitmaps of long sets say nothing, as any two differ in half their bits:
+pairs of sets from ``LONG`` shingles on must also be near by the counts of their shingles in ``CELLS`` cells, whose
+absolute differences are a lower bound too. Candidates are checked on the whole texts with integers only.
 
 Rows without words, empty or null texts have no shingles, link with nothing and are their own component. Null ids stay
 null unless linked; repeated rows fall into one class; input columns other than id and text are not read.
@@ -36,6 +38,8 @@ from lockgate.llm import common
 NUM, DEN = 3, 7  # a link of sizes a and b needs an overlap of at least 3 / 7 of a + b: the same as a Jaccard similarity of 3 / 4
 COUNTERS = 1 << 22
 WORDS = 16  # of 64 bits in a parity bitmap
+LONG = 700
+CELLS = 2048
 LARGEST_LIGHT = 14
 SALT_ROWS = 50_000
 RECENT = 20_000
@@ -56,7 +60,7 @@ def prefix_lengths(a: int) -> tuple[int, int]:
 
 
 _BITS = [f"b{i}" for i in range(WORDS)]
-PROFILE = "doc_id long, rid long, th long, n long, sig long, " + ", ".join(f"{b} long" for b in _BITS) + ", chunk int, counts binary"
+PROFILE = "doc_id long, rid long, th long, n long, sig long, " + ", ".join(f"{b} long" for b in _BITS) + ", cells binary, chunk int, counts binary"
 LISTED = "h long, salt int, key long, n long, small boolean, low long"
 CHECK_COST = 8
 
@@ -66,27 +70,34 @@ def _parity(shingle_set: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _cell_counts(shingle_set: np.ndarray) -> bytes:
+    """Shingles in each cell, one byte a cell; cutting at 255 on both sides only lowers differences."""
+    counts = np.bincount((shingle_set >> np.uint64(10)).astype(np.int64) & (CELLS - 1), minlength=CELLS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def _profile(rows: common.Batches) -> common.Batches:
     """One row for each text, then this task's table of counts."""
     ids, counts = common.WordIds(), np.zeros(COUNTERS, np.uint32)
     names = [f.split()[0] for f in PROFILE.split(", ")]
     for batch in common.slices(rows):
-        n, sig, bits = [], [], np.zeros((batch.num_rows, WORDS), np.int64)
+        n, sig, cells, bits = [], [], [], np.zeros((batch.num_rows, WORDS), np.int64)
         for i, text in enumerate(common.texts(batch.column(3))):
             found = np.unique(common.shingles(ids.of(text.lower().split())))
             n.append(len(found))
             sig.append(common.signature(found))
+            cells.append(_cell_counts(found) if len(found) >= LONG else None)
             if len(found):
                 bits[i] = _parity(found)
                 np.add.at(counts, (found >> np.uint64(40)).astype(np.int64) & (COUNTERS - 1), 1)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), batch.column(2), pa.array(n, pa.int64()), pa.array(sig, pa.int64())]
             + [pa.array(bits[:, k]) for k in range(WORDS)]
-            + [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())],
+            + [pa.array(cells, pa.binary()), pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())],
             names,
         )
     table = common.chunks(counts)
-    yield pa.RecordBatch.from_arrays([pa.nulls(table.num_rows, pa.int64())] * (5 + WORDS) + table.columns, names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(table.num_rows, pa.int64())] * (5 + WORDS) + [pa.nulls(table.num_rows, pa.binary()), *table.columns], names)
 
 
 def _subset_plan(a: int, boundary: int) -> list[tuple[int, int, int]]:
@@ -191,6 +202,27 @@ def _shared_only(shared):
     return step
 
 
+def _cells_allow(rows: common.Batches) -> common.Batches:
+    """Of pairs (a, b, n_a, cells_a, n_b, cells_b) those whose cells allow a link; sets without cells are not judged."""
+    for batch in common.slices(rows):
+        kept = []
+        for i, (n_a, x, n_b, y) in enumerate(zip(*[batch.column(k).to_pylist() for k in (2, 3, 4, 5)])):
+            if x is None or y is None:
+                kept.append(i)
+                continue
+            apart = np.abs(np.frombuffer(x, np.uint8).astype(np.int16) - np.frombuffer(y, np.uint8)).sum()
+            if DEN * int(apart) <= n_a + n_b:
+                kept.append(i)
+        yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+
+
+def plausible(pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    """Pairs of classes (a, b) without those that the cells (key, n, cells) of their long sets rule out."""
+    side = {x: cells.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}")) for x in "ab"}
+    joined = pairs.join(side["a"], "a", "left").join(side["b"], "b", "left")
+    return joined.select("a", "b", "n_a", "cells_a", "n_b", "cells_b").mapInArrow(_cells_allow, "a long, b long")
+
+
 def _check(rows: common.Batches) -> common.Batches:
     """Pairs whose sets are similar enough, counted on the whole texts."""
     ids = common.WordIds()
@@ -242,6 +274,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         rows.filter("n > 0").groupBy(F.col("sig").alias("key")).agg(F.min(_first_row()).alias("least"), F.min("th").alias("th"), F.min("n").alias("n"), *[F.min(b).alias(b) for b in _BITS]),
         "classes",
     )
+    cells = rows.filter("cells IS NOT NULL").groupBy(F.col("sig").alias("key")).agg(F.first("n").alias("n"), F.first("cells").alias("cells"))
+    cells = common.stored(cells, "cells")
     usual = max(1.0, float(np.median(counts)))
     rank = np.floor(4 * np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
     excess = np.maximum(0, counts - 2 * int(usual))
@@ -271,7 +305,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .filter(_POSSIBLE)
         .select("a", "b")
     )
-    edges = common.stored(similar(common.stored(stars, "stars"), docs, classes).union(sure.filter("a != b")).distinct(), "links")
+    edges = common.stored(similar(common.stored(plausible(stars, cells), "stars"), docs, classes).union(sure.filter("a != b")).distinct(), "links")
     labels = common.components(edges)
 
     # Sets outside the largest component of a list against the rest of the list.
@@ -285,7 +319,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
         .distinct()
     )
-    more = similar(common.stored(rest, "rest"), docs, classes)
+    more = similar(common.stored(plausible(rest, cells), "rest"), docs, classes)
     top = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     more = more.join(top, "a", "left").join(top.toDF("b", "lb"), "b", "left")
     higher = common.components(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))

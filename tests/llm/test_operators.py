@@ -408,3 +408,28 @@ def test_without(docs):
     assert common.without(docs, keyed.filter("doc_id < 5").select("rid")).filter("doc_id < 5").count() == 0
     assert common.without(docs, keyed.filter("doc_id < 5").select("rid")).count() == docs.filter("doc_id >= 5 OR doc_id IS NULL").count()
     assert docs.select(F.lit(1)).count() == len(corpus())
+
+
+def test_jaccard_join_of_long_texts(spark):
+    """Sets beyond the bitmaps: copies on both sides of the boundary, and strangers that share a rare passage."""
+    rng = random.Random(31)
+    passage = " ".join(f"rare{k}" for k in range(40))
+    rows = []
+    for group in range(4):
+        base = [f"w{rng.randrange(4000)}" for _ in range(900 + 1500 * group)]
+        for n, changes in enumerate((0, len(base) // 50, len(base) // 38, len(base) // 30, len(base) // 20)):
+            text = list(base)
+            for place in rng.sample(range(len(text)), changes):
+                text[place] = f"new{rng.randrange(10**6)}"
+            rows.append((100 * group + n, passage + " " + " ".join(text)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    least = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                    least[a] = min(least[a], least[b])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (len(sets[i]), least[i]) for i in sets}
+    assert len(set(least.values())) > 4
