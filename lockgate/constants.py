@@ -47,11 +47,9 @@ STORAGE_ROOTS = [
 # Type names that mean the same type.
 TYPE_ALIASES = {"int": "integer", "long": "bigint", "float": "real", "bool": "boolean"}
 
-# Limits on names and texts in reports.
+# Limits on names.
 MAX_NAME = 255
 MAX_LOCATION_NAME = 127
-MAX_ERROR = 500
-MAX_INTEGRITY_ERROR = 200
 
 # Object types and the codes used in reports.
 MANAGED, EXTERNAL, VIEW, ERROR = "MANAGED", "EXTERNAL", "VIEW", "ERROR"

@@ -43,23 +43,44 @@ def lane_total(name: str, prefix: str = "") -> str:
 
 
 def part_names(name: str, kind: T.DataType) -> list[str]:
-    if isinstance(kind, T.DecimalType):
-        return [f"{name}#"]
-    return lane_names(name) + ([] if isinstance(kind, T.IntegralType) else [f"{name}#wide"])
+    if isinstance(kind, T.IntegralType):
+        return [*lane_names(name), f"{name}#seen"]
+    sums = [f"{name}#"] if isinstance(kind, T.DecimalType) else [*lane_names(name), f"{name}#wide"]
+    return [*sums, f"{name}#seen", *lane_names(f"{name}~")]
 
 
 def sum_parts(value: str, name: str, kind: T.DataType) -> list[str]:
-    """Aggregates that together hold the exact sum of a numeric column.
+    """Aggregates that together hold the exact sum of a numeric column, and the evidence that goes with it.
 
     Floating values are taken at six decimals; those too large for a scaled long go to a decimal sum.
     """
+    seen = _evidence_parts(value, name, kind)
     if isinstance(kind, T.DecimalType):
-        return [f"try_sum({value}) AS {tick(name + '#')}"]
+        return [f"try_sum({value}) AS {tick(name + '#')}", *seen]
     if isinstance(kind, T.IntegralType):
-        return lane_sums(f"CAST({value} AS BIGINT)", name)
+        return [*lane_sums(f"CAST({value} AS BIGINT)", name), *seen]
     scaled = f"try_cast(rint(CAST({value} AS DOUBLE) * {10**DOUBLE_SCALE}) AS BIGINT)"
     wide = f"CASE WHEN {scaled} IS NULL THEN try_cast({value} AS {DOUBLE_TYPE}) END"
-    return [*lane_sums(scaled, name), f"try_sum({wide}) AS {tick(name + '#wide')}"]
+    return [*lane_sums(scaled, name), f"try_sum({wide}) AS {tick(name + '#wide')}", *seen]
+
+
+def _evidence_parts(value: str, name: str, kind: T.DataType) -> list[str]:
+    seen = f"count({value}) AS {tick(name + '#seen')}"
+    if isinstance(kind, T.IntegralType):
+        return [seen]
+    same = f"CAST({value} AS STRING)" if isinstance(kind, T.DecimalType) else f"CASE WHEN {value} = 0 THEN 0D ELSE CAST({value} AS DOUBLE) END"
+    return [seen, *lane_sums(f"CASE WHEN {value} IS NOT NULL THEN xxhash64({same}) END", f"{name}~")]
+
+
+def evidence(name: str, kind: T.DataType, prefix: str = "") -> str:
+    """What must agree besides the sum: how many values there are and, unless they are whole numbers, the sum of their hashes.
+
+    A sum leaves out NaN, infinities and what overflows, and rounds; the evidence covers every value exactly.
+    """
+    seen = f"CAST({tick(f'{prefix}{name}#seen')} AS STRING)"
+    if isinstance(kind, T.IntegralType):
+        return seen
+    return f"concat_ws('/', {seen}, CAST({lane_total(f'{name}~', prefix)} AS STRING))"
 
 
 def merge_function(part: str) -> str:

@@ -44,7 +44,10 @@ def location_name(path: Column) -> Column:
         [("[^a-zA-Z0-9_]", "_"), ("_+", "_"), (r"\A_|_\z", "")],
         path,
     )
-    return F.substring(F.lower(squeezed), 1, K.MAX_LOCATION_NAME)
+    name = F.lower(squeezed)
+    # A cut name ends in a hash of the path, so that two long paths keep two names.
+    cut = F.concat(F.substring(name, 1, K.MAX_LOCATION_NAME - 17), F.lit("_"), F.substring(F.sha2(path, 256), 1, 16))
+    return F.when(F.length(name) > K.MAX_LOCATION_NAME, cut).otherwise(name)
 
 
 def dotted(*parts: Column) -> Column:

@@ -53,6 +53,7 @@ def worklist(
 class Moved:
     rows: int
     bytes: int
+    status: str = "SUCCESS"
 
 
 def copy(
@@ -145,8 +146,9 @@ def run(
         else:
             try:
                 moved = action(row)
+                status = moved.status
             except Exception as failure:  # noqa: BLE001 - one table must not stop the others
-                status, error = "ERROR", f"{type(failure).__name__}: {failure}"[: K.MAX_ERROR]
+                status, error = "ERROR", f"{type(failure).__name__}: {failure}"
         took = 0.0 if dry_run else time.monotonic() - start
         return (
             row["src_table"], row["tgt_table"], row["strategy"], status, took,

@@ -77,7 +77,7 @@ def _failed(source: TableSource, error: Exception) -> tuple:
     return (
         source.database, source.database_location, source.database_owner, source.name, K.ERROR,
         "", "", "", "", "", "", "", [], 0, -1, -1, False, False,
-        f"{type(error).__name__}: {error}"[: K.MAX_ERROR],
+        f"{type(error).__name__}: {error}",
     )
 
 

@@ -170,14 +170,15 @@ def _literal(text: str) -> str:
 
 
 def _long_metrics(schema: T.StructType, columns: Sequence[str]) -> str:
-    """Wide aggregates as rows (column_name, metric, value); the text of a value is exact."""
+    """Wide aggregates as rows (column_name, metric, value, evidence); the text of a value is exact."""
 
-    def entry(c: str, metric: str, value: str) -> str:
-        return f"struct({_literal(c)} AS column_name, '{metric}' AS metric, CAST({value} AS STRING) AS value)"
+    def entry(c: str, metric: str, value: str, evidence: str = "NULL") -> str:
+        return f"struct({_literal(c)} AS column_name, '{metric}' AS metric, CAST({value} AS STRING) AS value, CAST({evidence} AS STRING) AS evidence)"
 
     entries = []
     for c in columns:
-        entries.append(entry(c, "sum", exactsum.total(f"sum:{c}", schema[c].dataType)))
+        kind = schema[c].dataType
+        entries.append(entry(c, "sum", exactsum.total(f"sum:{c}", kind), exactsum.evidence(f"sum:{c}", kind)))
         entries += [entry(c, m, tick(f"{m}:{c}")) for m in ("min", "max")]
     return f"inline(array({', '.join(entries)}))"
 
@@ -185,10 +186,11 @@ def _long_metrics(schema: T.StructType, columns: Sequence[str]) -> str:
 def checksums(src: DataFrame, tgt: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """SUM, MIN and MAX of each numeric source column on both sides, one scan per side.
 
-    A column the target lacks, or holds with another type, shows as a mismatch.
+    A column the target lacks, or holds with another type, shows as a mismatch. A sum is OK only if the number of values
+    and the sum of their hashes agree too, so values that the sum leaves out or rounds away still count.
     """
     columns = list(columns or numeric_columns(src.schema))
-    schema = schemas.struct("column_name string, metric string, value string")
+    schema = schemas.struct("column_name string, metric string, value string, evidence string")
     sides = []
     for df in (src, tgt):
         present = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, T.NumericType)]
@@ -197,10 +199,14 @@ def checksums(src: DataFrame, tgt: DataFrame, columns: Sequence[str] | None = No
             continue
         sides.append(_agg(df, _metric_aggregates(df.schema, present)).selectExpr(_long_metrics(df.schema, present)))
     both = _stack(*sides).groupBy("column_name", "metric").agg(
-        F.max(_on_src(F.col("value"))).alias("src_value"), F.max(_on_tgt(F.col("value"))).alias("tgt_value")
+        *[F.max(side(F.col(c))).alias(f"{name}_{c}") for c in ("value", "evidence") for name, side in (("src", _on_src), ("tgt", _on_tgt))]
     )
-    same = F.col("src_value").eqNullSafe(F.col("tgt_value"))
-    return both.withColumn("status", F.when(same, "OK").otherwise("CHECKSUM_MISMATCH"))
+    return both.withColumn("status", F.when(_agree(), "OK").otherwise("CHECKSUM_MISMATCH")).drop("src_evidence", "tgt_evidence")
+
+
+def _agree() -> Column:
+    same_value = F.col("src_value").eqNullSafe(F.col("tgt_value"))
+    return same_value & F.col("src_evidence").eqNullSafe(F.col("tgt_evidence"))
 
 
 # ---------------------------------------------------------------- partitions
@@ -235,10 +241,21 @@ def fingerprint(
     return summed.selectExpr("bucket", "n_rows", f"{exactsum.lane_total('hash')} AS fingerprint")
 
 
+def _aligned(src: DataFrame, tgt: DataFrame) -> DataFrame:
+    """The target with the columns of the source; one that it lost is NULL, so rows that had a value there differ."""
+    if all(c in tgt.columns for c in src.columns):
+        return tgt
+    present = {c.lower() for c in tgt.columns}
+    return tgt.select(
+        *[(F.col(tick(f.name)) if f.name.lower() in present else F.lit(None).cast(f.dataType)).alias(f.name) for f in src.schema.fields]
+    )
+
+
 def fingerprint_diff(
     src: DataFrame, tgt: DataFrame, buckets: int, key: Sequence[str] = (), hash_kind: str = "fast"
 ) -> DataFrame:
     """Fingerprints of both sides per bucket, with a status."""
+    tgt = _aligned(src, tgt)
     both = _stack(
         fingerprint(src, buckets, key, src.columns, hash_kind), fingerprint(tgt, buckets, key, src.columns, hash_kind)
     )
@@ -270,7 +287,9 @@ def row_diff(
     Rows of one key are summed up before the shuffle, so repeated keys neither multiply nor pile up.
     With ``buckets`` a first pass compares fingerprints, and only keys of differing buckets are
     shuffled: two scans instead of one, but a nearly equal pair of large tables moves almost nothing.
+    Columns of the source that the target lost count as NULL there.
     """
+    tgt = _aligned(src, tgt)
     columns = src.columns
     rows = _stack(_hashed(src, key, columns, hash_kind), _hashed(tgt, key, columns, hash_kind))
     if buckets:
@@ -307,7 +326,7 @@ def sampled_hash(
 
 def multiset_diff(src: DataFrame, tgt: DataFrame, buckets: int | None = None, hash_kind: str = "fast") -> DataFrame:
     """Rows that occur a different number of times, for tables without a key (both EXCEPT ALLs at once)."""
-    columns = src.columns
+    columns, tgt = src.columns, _aligned(src, tgt)
 
     def comparable(df: DataFrame) -> DataFrame:
         maps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
@@ -335,13 +354,17 @@ def one_pass(
     """Count, checksums, partition counts and bucket fingerprints with one scan per side.
 
     The heavy step groups each side by (partition values, bucket). All checks are then sums over that
-    small result. Rows: (scope, item, metric, src_value, tgt_value, status).
+    small result. Rows: (scope, item, metric, src_value, tgt_value, status). Columns that only one side has are rows of
+    scope ``column``; hashes cover the columns of both sides.
     """
+    hashed = [c for c in src.columns if c in tgt.columns]
+    if not hashed:
+        raise ValueError("source and target have no column in common")
     columns = numeric_columns(src.schema)
     shared = [c for c in columns if c in tgt.columns and isinstance(tgt.schema[c].dataType, T.NumericType)]
 
     def cells(df: DataFrame) -> DataFrame:
-        row = hashing.row_hash(df.schema, src.columns, hash_kind)
+        row = hashing.row_hash(df.schema, hashed, hash_kind)
         place = hashing.HASHES[hash_kind](df.schema, key) if key else "_row"
         needed = [F.col(tick(c)) for c in dict.fromkeys([*partition_by, *shared])]
         rows = df.select("*", row.alias("_row")).select(*needed, "_row", hashing.bucket(place, buckets).alias("_bucket"))
@@ -369,8 +392,9 @@ def one_pass(
     ]
     totals = _agg(spread.groupBy("_s.scope", "_s.item"), merged)
 
-    def entry(scope: str, metric: str, src_value: str, tgt_value: str) -> str:
-        values = f"CAST({src_value} AS STRING) AS src_value, CAST({tgt_value} AS STRING) AS tgt_value"
+    def entry(scope: str, metric: str, src_value: str, tgt_value: str, src_evidence: str = "NULL", tgt_evidence: str = "NULL") -> str:
+        given = {"src_value": src_value, "tgt_value": tgt_value, "src_evidence": src_evidence, "tgt_evidence": tgt_evidence}
+        values = ", ".join(f"CAST({v} AS STRING) AS {n}" for n, v in given.items())
         return f"CASE WHEN scope = '{scope}' THEN struct({_literal(metric)} AS metric, {values}) END"
 
     def plain(scope: str, metric: str, name: str) -> str:
@@ -379,11 +403,17 @@ def one_pass(
     entries = [plain("table", "rows", "rows"), plain("partition", "rows", "rows")]
     entries.append(entry("bucket", "fingerprint", *[exactsum.lane_total("hash", side) for side in ("src|", "tgt|")]))
     for c, (src_kind, tgt_kind) in kinds.items():
-        sums = exactsum.total(f"sum:{c}", src_kind, "src|"), exactsum.total(f"sum:{c}", tgt_kind, "tgt|")
+        sides = ((src_kind, "src|"), (tgt_kind, "tgt|"))
+        sums = [f(f"sum:{c}", kind, prefix) for f in (exactsum.total, exactsum.evidence) for kind, prefix in sides]
         entries += [entry("table", f"sum({c})", *sums), *[plain("table", f"{m}({c})", f"{m}:{c}") for m in ("min", "max")]]
     report = totals.selectExpr("scope", "item", f"inline(array_compact(array({', '.join(entries)})))")
-    same = F.col("src_value").eqNullSafe(F.col("tgt_value"))
-    return report.withColumn("status", F.when(same, "OK").otherwise("MISMATCH"))
+    report = report.withColumn("status", F.when(_agree(), "OK").otherwise("MISMATCH")).drop("src_evidence", "tgt_evidence")
+    one_sided = [(c, "present", None) for c in src.columns if c not in tgt.columns]
+    one_sided += [(c, None, "present") for c in tgt.columns if c not in src.columns]
+    if not one_sided:
+        return report
+    rows = [("column", c, "present", s, t, "MISMATCH") for c, s, t in one_sided]
+    return report.unionByName(frame(src.sparkSession, rows, report.schema))
 
 
 # ---------------------------------------------------------------- completeness

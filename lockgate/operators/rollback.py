@@ -31,7 +31,7 @@ def integrity(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]],
         try:
             return name, load().count(), "OK", None
         except Exception as error:  # noqa: BLE001 - the failure is the finding
-            return name, -1, "MISSING_OR_ERROR", str(error)[: K.MAX_INTEGRITY_ERROR]
+            return name, -1, "MISSING_OR_ERROR", str(error)
 
     with ThreadPoolExecutor(max_parallel) as pool:
         return tables.frame(spark, pool.map(check, sources.items()), schemas.INTEGRITY)
@@ -77,11 +77,13 @@ def drops(objects: DataFrame, scope: str = "FULL", databases: str = "") -> DataF
 
 
 def container_drops(mapping: DataFrame) -> DataFrame:
-    """Drops of the schemas, then of their catalogs."""
+    """Drops of the schemas, then of their catalogs. What was there before the run stays."""
     cat, schema = F.col("tgt_catalog"), F.col("tgt_schema")
     none = F.lit(None).cast("string")
+    before = F.coalesce(F.col("status") == "ALREADY_EXISTS", F.lit(False))
+    fresh = mapping.groupBy("tgt_catalog").agg(F.bool_or(before).alias("before")).filter("NOT before")
     by_schema = _planned(
-        mapping.select("tgt_catalog", "tgt_schema").distinct(),
+        mapping.filter(~before).select("tgt_catalog", "tgt_schema").distinct(),
         3,
         F.lit("DROP_SCHEMA"),
         names.dotted(cat, schema),
@@ -89,7 +91,7 @@ def container_drops(mapping: DataFrame) -> DataFrame:
         F.concat(F.lit("DROP SCHEMA IF EXISTS "), names.quoted(cat, schema), F.lit(" CASCADE")),
     )
     by_catalog = _planned(
-        mapping.select("tgt_catalog").distinct(),
+        fresh.select("tgt_catalog"),
         4,
         F.lit("DROP_CATALOG"),
         cat,
@@ -99,10 +101,11 @@ def container_drops(mapping: DataFrame) -> DataFrame:
     return by_schema.unionByName(by_catalog)
 
 
-def revokes(permission_log: DataFrame) -> DataFrame:
-    """Revokes of the grants that were really made."""
+def revokes(permission_log: DataFrame, databases: str = "") -> DataFrame:
+    """Revokes of the grants that were really made, of all source databases or the given ones."""
+    made = permission_log.filter(F.col("status") == "SUCCESS").withColumn("src_database", F.substring_index("src_object", ".", 1))
     return _planned(
-        permission_log.filter(F.col("status") == "SUCCESS"),
+        filters.in_list(made, "src_database", databases),
         1,
         F.lit("REVOKE"),
         F.col("tgt_object"),
@@ -129,7 +132,7 @@ def plan(
         raise ValueError(f"scope must be one of {SCOPES}")
     parts = []
     if scope in ("FULL", "GRANTS_ONLY") and permission_log is not None:
-        parts.append(revokes(permission_log))
+        parts.append(revokes(permission_log, databases))
     if scope != "GRANTS_ONLY":
         parts.append(drops(objects, scope, databases))
     if scope == "FULL" and not databases.strip():

@@ -22,7 +22,7 @@ def rewrite_refs(
     References to mapped databases move wherever they stand; a quoted pair of an unmapped database
     moves only right after FROM or JOIN, as elsewhere it is an alias and a column. Each text is cut into
     gaps and references, the references join the mapping (any size, no driver loop), and the pieces of
-    one text are put together again by its key, which must be unique.
+    one text are put together again by its key, which must be unique. A NULL text stays NULL.
     """
     cut = views.select(
         *key,
@@ -30,7 +30,7 @@ def rewrite_refs(
         F.regexp_extract_all(F.col(text), F.lit(sqltext.REFERENCE), F.lit(0)).alias("ref"),
     )
     # There is one gap more than references: the last row holds the end of the text and no reference.
-    piece = cut.select(*key, F.posexplode(F.arrays_zip("gap", "ref")).alias("pos", "p")).select(*key, "pos", "p.gap", "p.ref")
+    piece = cut.select(*key, F.posexplode_outer(F.arrays_zip("gap", "ref")).alias("pos", "p")).select(*key, "pos", "p.gap", "p.ref")
     ticked = F.col("ref").startswith("`")
     named = piece.withColumns(
         {
@@ -45,8 +45,8 @@ def rewrite_refs(
     new_ref = F.when(F.col("tgt_schema").isNotNull() | is_table, moved).otherwise(F.col("ref"))
     written = F.concat("gap", F.coalesce(new_ref, F.lit(""))).alias("written")
     pieces = F.array_sort(F.collect_list(F.struct("pos", written))).alias("pieces")
-    whole = F.array_join(F.col("pieces.written"), "").alias("adapted")
-    return joined.groupBy(*key).agg(pieces).select(*key, whole)
+    whole = F.when(F.col("n_gaps") > 0, F.array_join(F.col("pieces.written"), "")).alias("adapted")
+    return joined.groupBy(*key).agg(pieces, F.count("gap").alias("n_gaps")).select(*key, whole)
 
 
 def _status(dry_run: bool) -> Column:

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lockgate import constants as K
+from lockgate import schemas
 from lockgate.operators import compat, mapping, move, profile, reconcile, rollback
 from lockgate.operators.move import Moved
 from lockgate.operators.profile import TableSource
@@ -48,6 +52,20 @@ def _stored_path(options: Options, row: Row) -> str:
     return move.target_path(options.base_path, schema, table)
 
 
+def _target(spark: SparkSession, path: str, fmt: str, source: StructType, partition_by: Sequence[str]) -> DataFrame:
+    """A copy with the columns and types its own files declare; only partition columns, as folder names, take the source's."""
+    own = source
+    if fmt in ("parquet", "orc"):
+        try:
+            own = spark.read.format(fmt).load(path).schema
+        except AnalysisException:
+            pass  # a partitioned table without rows has no file that could tell
+    found = {f.name: f for f in own.fields}
+    fields = [source[c] if c in partition_by else found[c] for c in source.fieldNames() if c in found]
+    fields += [f for f in own.fields if f.name not in source.fieldNames()]
+    return tables.read(spark, path, fmt, StructType(fields))
+
+
 def _refuse_collisions(rows: Sequence[Row]) -> None:
     """Two sources with one target would be merged into one folder; nothing is copied then."""
     by_target: dict[str, list[str]] = {}
@@ -67,7 +85,8 @@ def migrate(
     """Move ``sources`` and reconcile every copy that succeeded.
 
     The driver sees one row per table; all data work runs as Spark jobs, several tables at once. Tables
-    that are only registered stay where they are; ``register`` may declare them in a metastore.
+    that are only registered stay where they are; ``register`` declares them in a metastore, and without it
+    they are logged as NOT_REGISTERED and count as unmigrated.
     """
     by_name = {f"{s.database}.{s.name}": s for s in sources}
     inv = scratch.materialize(profile.inventory(spark, sources, isolate=True), "inventory")
@@ -80,25 +99,35 @@ def migrate(
     def act(row: Row) -> Moved:
         source = by_name[row["src_table"]]
         if row["strategy"] == K.REGISTER_IN_PLACE:
-            return register(row, source) if register else Moved(0, 0)
+            return register(row, source) if register else Moved(0, 0, "NOT_REGISTERED")
         return move.copy(source.load(), _stored_path(options, row), options.fmt, source.partition_columns)
 
     log = move.run(spark, rows, act, options.run_ts, options.dry_run, options.max_parallel)
     done = {r["src_table"] for r in log.filter("status = 'SUCCESS'").select("src_table").collect()}
     copied = [r for r in rows if r["src_table"] in done and r["strategy"] != K.REGISTER_IN_PLACE]
-    pairs = {}
-    for row in copied:
-        source = by_name[row["src_table"]]
-        src = source.load()
-        tgt = tables.read(spark, _stored_path(options, row), options.fmt, src.schema)
-        pairs[row["src_table"]] = (src, tgt, list(source.partition_columns))
-    findings = [
-        reconcile.one_pass(src, tgt, parts, options.buckets).select(F.lit(name).alias("src_table"), "*")
-        for name, (src, tgt, parts) in pairs.items()
-    ]
-    none = spark.range(0).select(
-        *[F.lit("").alias(c) for c in ("src_table", "scope", "item", "metric", "src_value", "tgt_value", "status")]
-    )
+    pairs: dict[str, tuple[DataFrame, DataFrame]] = {}
+    errors, reports = [], []
+    folder = scratch.new_folder(spark, "findings")
+
+    def check(item: tuple[int, Row]) -> None:
+        """One job per table; one that cannot be read is an ERROR row and stops no other."""
+        place, row = item
+        name, source = row["src_table"], by_name[row["src_table"]]
+        try:
+            src = source.load()
+            tgt = _target(spark, _stored_path(options, row), options.fmt, src.schema, source.partition_columns)
+            report = reconcile.one_pass(src, tgt, list(source.partition_columns), options.buckets)
+            report.select(F.lit(name).alias("src_table"), "*").write.parquet(f"{folder}/{place}")
+            pairs[name] = (src, tgt)
+            reports.append(f"{folder}/{place}")
+        except Exception as failure:  # noqa: BLE001 - the failure is the finding
+            errors.append((name, "table", "all", "error", None, f"{type(failure).__name__}: {failure}", "ERROR"))
+
+    with ThreadPoolExecutor(options.max_parallel) as pool:
+        list(pool.map(check, enumerate(copied)))
+    findings = tables.frame(spark, errors, schemas.FINDINGS)
+    if reports:
+        findings = findings.unionByName(spark.read.schema(schemas.FINDINGS).parquet(*reports))
     return Result(
         inventory=inv,
         checks=checks,
@@ -108,7 +137,7 @@ def migrate(
             profile.columns(spark, {n: p[0] for n, p in pairs.items()}),
             profile.columns(spark, {n: p[1] for n, p in pairs.items()}),
         ),
-        findings=scratch.materialize(tables.union_all([none, *findings]), "findings"),
+        findings=findings,
         unmigrated=reconcile.unmigrated(inv, log),
         rollback=rollback.plan(rollback.target_objects(inv, names), names),
     )

@@ -50,7 +50,10 @@ GRANTS = struct(
     privilege string, grant_option boolean
     """
 )
-INTEGRITY = struct("table_name string, n_rows bigint, status string, error_message string")
+FINDINGS = struct(
+    "src_table string, scope string, item string, metric string, src_value string, tgt_value string, status string"
+)
+INTEGRITY =struct("table_name string, n_rows bigint, status string, error_message string")
 ROLLBACK_LOG = struct(
     "action string, tgt_object string, src_object string, statement string, status string, planned_at timestamp"
 )

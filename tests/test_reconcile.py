@@ -261,3 +261,41 @@ def test_a_sample_that_could_hold_nothing_is_refused(spark):
     df = spark.createDataFrame([(1,)], "id int")
     with pytest.raises(ValueError):
         R.sampled_hash(df, df, ["id"], 1e-7)
+
+
+@pytest.mark.parametrize(
+    "kind, src, tgt",
+    [
+        ("double", [float("nan"), float("nan"), 1.0], [float("nan"), None, 1.0]),
+        ("double", [float("inf"), 1.0], [float("nan"), 1.0]),
+        ("double", [1e35, 5e34, 1.0], [1e35, 7e34, 1.0]),
+        ("double", [0.1, 0.5, 0.9], [0.1, 0.5 + 2e-7, 0.9]),
+        ("int", [0, 0, 1], [0, None, 1]),
+    ],
+)
+def test_checksums_miss_no_value(spark, kind, src, tgt):
+    """Values that a sum leaves out or rounds away: lost, changed, or beyond its range."""
+    a, b = (spark.createDataFrame([(v,) for v in side], f"v {kind}") for side in (src, tgt))
+    assert checks(R.checksums(a, b))["v", "sum"][2] == "CHECKSUM_MISMATCH"
+    assert {r.status for r in R.one_pass(a, b, buckets=1).filter("metric = 'sum(v)'").collect()} == {"MISMATCH"}
+    assert {v[2] for v in checks(R.checksums(a, a.repartition(2))).values()} == {"OK"}
+    assert {r.status for r in R.one_pass(a, a, buckets=2).collect()} == {"OK"}
+
+
+def test_checksums_of_overflowing_decimals(spark):
+    def rows(last):
+        return spark.sql(f"SELECT CAST(v AS DECIMAL(38,0)) AS v FROM VALUES ('{'9' * 38}'), ('{'9' * 38}'), ('1'), ('{last}') AS t(v)")
+
+    assert checks(R.checksums(rows(5), rows(77)))["v", "sum"][2] == "CHECKSUM_MISMATCH"
+    assert {v[2] for v in checks(R.checksums(rows(5), rows(5))).values()} == {"OK"}
+
+
+def test_lost_and_extra_columns_are_findings(spark):
+    src = spark.range(4).selectExpr("id", "id * 2 AS v", "if(id = 0, NULL, 'x') AS s")
+    tgt = src.drop("s").withColumn("more", F.lit(1))
+    got = {(r.scope, r.item): (r.src_value, r.tgt_value, r.status) for r in R.one_pass(src, tgt, key=["id"], buckets=1).collect() if r.scope != "table"}
+    assert got["column", "s"] == ("present", None, "MISMATCH") and got["column", "more"] == (None, "present", "MISMATCH")
+    assert got["bucket", "0"][2] == "OK"
+    assert [r.id for r in R.row_diff(src, tgt, ["id"]).orderBy("id").collect()] == [1, 2, 3]
+    assert R.multiset_diff(src, tgt).count() == 6
+    assert {r.status for r in R.fingerprint_diff(src, tgt, 1).collect()} == {"DIFFERENT"}

@@ -68,7 +68,7 @@ def test_view_refs(spark):
     views = spark.createDataFrame([("a", "v", ddl)], "database_name string, table_name string, ddl string")
     found = compat.view_refs(views).collect()
     assert {(r.ref_database, r.ref_table) for r in found} == {("b", "u"), ("c", "w")}
-    assert len(found[0].ddl_snippet) == 500
+    assert found[0].ddl_snippet == ddl
 
 
 def test_recreate(spark, mapping):
@@ -169,7 +169,7 @@ def test_rollback_scopes(spark, mapping, objects):
 
     assert actions("FULL") == ["REVOKE", "DROP_TABLE", "DROP_VIEW", *["DROP_SCHEMA"] * 3, "DROP_CATALOG"]
     assert actions("FULL", "clientes") == ["REVOKE", "DROP_TABLE", "DROP_VIEW"]
-    assert actions("FULL", "credito") == ["REVOKE"]
+    assert actions("FULL", "credito") == []
     assert actions("TABLES_ONLY") == ["DROP_TABLE"]
     assert actions("VIEWS_ONLY") == ["DROP_VIEW"]
     assert actions("GRANTS_ONLY") == ["REVOKE"]
@@ -178,6 +178,25 @@ def test_rollback_scopes(spark, mapping, objects):
         rollback.plan(objects, mapping, log, "EVERYTHING")
 
 
+def test_rollback_keeps_what_was_there_before(spark, mapping, objects):
+    mixed = mapping.withColumn("status", F.when(F.col("src_database") == "credito", "ALREADY_EXISTS").otherwise("CREATED"))
+    actions = [(r.action, r.tgt_object) for r in rollback.plan(objects, mixed).filter("step > 2").orderBy("tgt_object").collect()]
+    assert actions == [("DROP_SCHEMA", "prod.clientes"), ("DROP_SCHEMA", "prod.financeiro_new")]
+
+
+def test_rewrite_keeps_views_without_text(spark, mapping):
+    views = spark.createDataFrame([("db", "v", None), ("db", "w", "SELECT 1")], "database_name string, table_name string, body string")
+    assert {r.table_name: r.adapted for r in viewsql.rewrite_refs(views, mapping, "prod").collect()} == {"v": None, "w": "SELECT 1"}
+
+
+def test_long_location_names_stay_apart(spark):
+    from lockgate.functions import names
+
+    df = spark.createDataFrame([("s3://" + "x" * 200 + tail,) for tail in "ab"], "p string")
+    found = [r[0] for r in df.select(names.location_name(F.col("p"))).collect()]
+    assert len(set(found)) == 2 and {len(n) for n in found} == {127}
+
+
 def test_rollback_texts(spark, mapping, objects):
     got = {r.action: r.statement for r in rollback.plan(objects, mapping).collect()}
     assert got["DROP_TABLE"] == "DROP TABLE IF EXISTS `prod`.`clientes`.`pf`"
