@@ -528,8 +528,8 @@ FROM ({OBJECTS}) JOIN ({MAPPING}) m ON database_name = src_database"""
 @query(
     "q_rollback_plan",
     f"""SELECT *, 'DRY_RUN' AS status FROM ({REVOKES} UNION ALL {DROPS}
-UNION ALL SELECT DISTINCT 3, 'DROP_SCHEMA', tgt_catalog || '.' || tgt_schema, NULL, 'DROP SCHEMA IF EXISTS `' || tgt_catalog || '`.`' || tgt_schema || '` CASCADE' FROM ({MAPPING})
-UNION ALL SELECT DISTINCT 4, 'DROP_CATALOG', tgt_catalog, NULL, 'DROP CATALOG IF EXISTS `' || tgt_catalog || '` CASCADE' FROM ({MAPPING}))""",
+UNION ALL SELECT DISTINCT 3, 'DROP_SCHEMA', tgt_catalog || '.' || tgt_schema, NULL, 'DROP SCHEMA IF EXISTS `' || tgt_catalog || '`.`' || tgt_schema || '` CASCADE' FROM ({MAPPING}) WHERE status <> 'ALREADY_EXISTS'
+UNION ALL SELECT 4, 'DROP_CATALOG', tgt_catalog, NULL, 'DROP CATALOG IF EXISTS `' || tgt_catalog || '` CASCADE' FROM ({MAPPING}) GROUP BY tgt_catalog HAVING count(*) FILTER (status = 'ALREADY_EXISTS') = 0)""",
 )
 def q_rollback_plan(t: Tables) -> DataFrame:
     m = object_mapping(t)
