@@ -7,7 +7,9 @@ changes exactly A-Z, which is what the contracts of the operators ask for.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,7 @@ MEMO_WORDS = 100_000
 SLICE = 500
 BUCKETS = 1 << 18
 SHINGLE = 5
+BATCH_BYTES = 4 << 20
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -33,6 +36,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return scratch.materialize(df, label)
 
 
+def mapped(df: DataFrame, step: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """``df`` through ``step`` in Arrow batches of at most ``BATCH_BYTES`` or one row; the session keeps that limit.
+
+    Spark keeps Python workers for later tasks, so each gives what it has freed back to the system when a task ends.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def task(rows: Batches) -> Batches:
+        yield from step(rows)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(rows: Batches) -> Batches:
     """The same rows in batches of at most ``SLICE``, so that what a worker holds besides its Arrow batch stays small."""
     for batch in rows:
@@ -131,9 +156,9 @@ def _sum_chunks(rows: Batches) -> Batches:
 def summed(rows: DataFrame, counters: int) -> np.ndarray:
     """The sum of all tasks' tables of counts (chunk, counts): a fixed size, whatever the corpus holds."""
     schema = "chunk int, counts binary"
-    rows = rows.repartition("chunk", F.floor(F.rand(7) * 4)).mapInArrow(_sum_chunks, schema)
+    rows = mapped(rows.repartition("chunk", F.floor(F.rand(7) * 4)), _sum_chunks, schema)
     total = np.zeros((counters // CHUNK, CHUNK), np.int64)
-    for chunk, counts in rows.repartition("chunk").mapInArrow(_sum_chunks, schema).collect():
+    for chunk, counts in mapped(rows.repartition("chunk"), _sum_chunks, schema).collect():
         total[chunk] += np.frombuffer(counts, np.uint32)
     return total.reshape(-1)
 

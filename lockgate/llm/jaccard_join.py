@@ -220,7 +220,7 @@ def plausible(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     """Pairs of classes (a, b) without those that the cells (key, n, cells) of their long sets rule out."""
     side = {x: cells.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}")) for x in "ab"}
     joined = pairs.join(side["a"], "a", "left").join(side["b"], "b", "left")
-    return joined.select("a", "b", "n_a", "cells_a", "n_b", "cells_b").mapInArrow(_cells_allow, "a long, b long")
+    return common.mapped(joined.select("a", "b", "n_a", "cells_a", "n_b", "cells_b"), _cells_allow, "a long, b long")
 
 
 def _check(rows: common.Batches) -> common.Batches:
@@ -252,7 +252,7 @@ def similar(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = common.stored(needed.join(texts, "th").groupBy("key").agg(F.first("text").alias("text")), "texts")
     side = {x: texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
     joined = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_check, "a long, b long")
+    return common.mapped(joined, _check, "a long, b long")
 
 
 _DISTANCE = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in _BITS)
@@ -267,7 +267,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.row_key(docs).alias("rid"), F.col(text_col).alias("text"))
-    profile = common.stored(docs.select("doc_id", "rid", F.xxhash64("text").alias("th"), "text").mapInArrow(_profile, PROFILE), "profile")
+    profile = common.stored(common.mapped(docs.select("doc_id", "rid", F.xxhash64("text").alias("th"), "text"), _profile, PROFILE), "profile")
     counts = common.summed(profile.filter("chunk IS NOT NULL").select("chunk", "counts"), COUNTERS)
     rows = profile.filter("chunk IS NULL")
     classes = common.stored(
@@ -284,9 +284,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sizes = {int(n): int(c) for n, c in classes.filter(F.col("n") <= 2 * LARGEST_LIGHT).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, mean_list)
 
-    entries = docs.select("text").mapInArrow(_entries(shared, boundary), LISTED)
+    entries = common.mapped(docs.select("text"), _entries(shared, boundary), LISTED)
     entries = entries.repartition(F.col("h"), F.col("salt")).sortWithinPartitions("h", "key")
-    lists = common.stored(entries.mapInArrow(_shared_only(shared), LISTED).drop("salt"), "lists")
+    lists = common.stored(common.mapped(entries, _shared_only(shared), LISTED).drop("salt"), "lists")
 
     subsets, scans = lists.filter("low > 0"), lists.filter("low = 0").drop("low")
     first = subsets.groupBy("h").agg(F.min(F.struct("n", "key")).alias("l"), F.min("low").alias("low")).filter("l.n = low")

@@ -124,7 +124,7 @@ def fit(rows: DataFrame, names: list[str], targets: np.ndarray, max_rate: float,
 
     before = None
     for _ in range(rounds):
-        got = rows.mapInArrow(step, ", ".join(f"{c} double" for c in columns)).agg(*[F.sum(c) for c in columns]).first()
+        got = common.mapped(rows, step, ", ".join(f"{c} double" for c in columns)).agg(*[F.sum(c) for c in columns]).first()
         error = np.array([v or 0.0 for v in got]) / total - targets
         size = float(np.sqrt(error @ inverse @ error))
         if size < SMALL or before is not None and abs(before - size) < 1e-3 * size:
@@ -153,7 +153,8 @@ def mix(
     names = [f"p_{n}" for n in model.names]
     shared = spark.sparkContext.broadcast(model)
     schema = "doc_id long, rid long, n_tokens long, " + ", ".join(f"{n} double" for n in names)
-    rows = common.stored(docs.select(F.col("doc_id").cast("long"), common.row_key(docs).alias("rid"), "text").mapInArrow(_memberships(shared, names), schema), "memberships")
+    texts = docs.select(F.col("doc_id").cast("long"), common.row_key(docs).alias("rid"), "text")
+    rows = common.stored(common.mapped(texts, _memberships(shared, names), schema), "memberships")
     has = rows.agg(F.sum("n_tokens"), *[F.sum(F.col("n_tokens") * F.col(n)) for n in names]).first()
     share = np.array([targets[n] for n in model.names], float)
     total = float(has[0] or 0)
@@ -168,5 +169,5 @@ def mix(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
 
     draw = F.pmod(F.xxhash64("rid", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
-    rated = rows.mapInArrow(step, schema + ", rate double")
+    rated = common.mapped(rows, step, schema + ", rate double")
     return rated.withColumn("n_copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))

@@ -84,7 +84,7 @@ def _statistics(rows: common.Batches) -> common.Batches:
 def base_statistics(docs: DataFrame) -> DataFrame:
     """doc_id, rid, lang, source, the five counts and ``base_failed``."""
     rows = docs.select(F.col("doc_id").cast("long"), common.row_key(docs).alias("rid"), F.col("lang").cast("string"), F.col("source").cast("string"), "text")
-    rows = rows.mapInArrow(_statistics, f"doc_id long, rid long, lang string, source string, {BASE}")
+    rows = common.mapped(rows, _statistics, f"doc_id long, rid long, lang string, source string, {BASE}")
     return rows.withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
 
 
@@ -164,7 +164,7 @@ def _model(chosen: DataFrame, factor: float) -> DataFrame:
         F.array(*[F.sum(value[f"f{i}"]) for i in range(P)]).alias("s"),
         F.array(*[F.sum(value[f"f{i}"] * F.col(f"f{j}")) for i, j in pairs]).alias("ss"),
     )
-    return common.stored(sums.filter("n > 0").withColumn("factor", F.lit(factor)).mapInArrow(_invert, _MODEL), "mcd")
+    return common.stored(common.mapped(sums.filter("n > 0").withColumn("factor", F.lit(factor)), _invert, _MODEL), "mcd")
 
 
 def fit(rows: DataFrame) -> DataFrame:
