@@ -433,21 +433,3 @@ def test_jaccard_join_of_long_texts(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: (len(sets[i]), least[i]) for i in sets}
     assert len(set(least.values())) > 4
-
-
-def test_side_bitmaps_of_similar_passages_are_near():
-    rng = np.random.default_rng(8)
-    tokens = rng.integers(0, 1 << 62, 300).astype(np.uint64)
-    edited = tokens.copy()
-    at = 150
-    edited[at + 3 : at + 9] = rng.integers(0, 1 << 62, 6).astype(np.uint64)
-    alone = rng.integers(0, 1 << 62, 300).astype(np.uint64)
-    places = np.array([at])
-
-    def apart(x, y):
-        bits = np.bitwise_xor(*[substring_dedup.side_bitmaps(t, places)[:, 0] for t in (x, y)]).view(np.uint64)
-        return [sum(int(b).bit_count() for b in half) for half in (bits[:2], bits[2:])]
-
-    assert apart(tokens, edited)[0] == 0 and apart(tokens, edited)[1] <= substring_dedup.APART
-    assert min(apart(tokens, alone)) > substring_dedup.APART
-    assert substring_dedup.side_bitmaps(tokens[:1], np.array([0])).shape == (4, 1)
