@@ -380,6 +380,25 @@ def test_substring_dedup(docs, no_docs):
     assert substring_dedup.dedup_report(no_docs).count() == 0
 
 
+def linked(spark, texts: list[list[str]], keys: list[tuple[int, int, int]]) -> list[tuple]:
+    """The passages (a, b, pa, pb) of texts 1, 2, ... that share the given keys (h, th, c)."""
+    docs = spark.createDataFrame([(k + 1, " ".join(t)) for k, t in enumerate(texts)], "th long, text string")
+    found = substring_dedup._linked(spark.createDataFrame(keys, "h long, th long, c int"), docs)
+    return [tuple(r) for r in found.filter("n IS NOT NULL").select("a", "b", "pa", "pb").collect()]
+
+
+def named(name: str, n: int) -> list[str]:
+    return [f"{name}{k}" for k in range(n)]
+
+
+def test_substring_dedup_keeps_matched_texts_as_partners(spark):
+    """Drifting versions: 1 is near 2 and 2 is near 3, but 1 is not near 3."""
+    base = named("w", 100)
+    edited = [[f"{k}{w}" if i in places else w for i, w in enumerate(base)] for k, places in enumerate(((20, 60), (), (40, 80)))]
+    got = linked(spark, edited, [(7, 1, 10), (7, 2, 10), (7, 3, 10)])
+    assert {p[:2] for p in got} == {(1, 2), (2, 3)}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
