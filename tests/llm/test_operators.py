@@ -399,6 +399,14 @@ def test_substring_dedup_keeps_matched_texts_as_partners(spark):
     assert {p[:2] for p in got} == {(1, 2), (2, 3)}
 
 
+def test_substring_dedup_checks_every_place_of_a_diagonal(spark):
+    """A chance hit lies before a passage with an inserted word on the same diagonal."""
+    passage = named("p", 60)
+    texts = [named("a", 100) + passage + named("b", 50), named("c", 100) + passage[:25] + ["new"] + passage[25:] + named("d", 50)]
+    got = linked(spark, texts, [(8, 1, 5), (8, 2, 5), (7, 1, 110), (7, 2, 110)])
+    assert got and all(p[2] >= 90 for p in got)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
