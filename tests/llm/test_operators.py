@@ -407,6 +407,14 @@ def test_substring_dedup_checks_every_place_of_a_diagonal(spark):
     assert got and all(p[2] >= 90 for p in got)
 
 
+def test_substring_dedup_is_done_with_a_key_only_at_its_place(spark):
+    """2 shares one passage with 1 and only collides with it on key 7, where 2 and 3 share another passage."""
+    one, other = named("p", 60), named("q", 60)
+    texts = [one + named("a", 100), one + named("b", 100) + other, other + named("c", 100)]
+    got = linked(spark, texts, [(7, 1, 110), (7, 2, 190), (7, 3, 30), (8, 1, 20), (8, 2, 20)])
+    assert {p[:2] for p in got} == {(1, 2), (2, 3)}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
