@@ -415,6 +415,14 @@ def test_substring_dedup_is_done_with_a_key_only_at_its_place(spark):
     assert {p[:2] for p in got} == {(1, 2), (2, 3)}
 
 
+def test_substring_dedup_finds_a_second_passage_of_a_pair(spark):
+    """2 and 3 share two passages; the first text of the second one's key is a stranger."""
+    one, other = named("p", 60), named("q", 60)
+    texts = [named("s", 100), one + named("b", 100) + other, one + named("c", 70) + other]
+    got = linked(spark, texts, [(8, 2, 20), (8, 3, 20), (7, 1, 30), (7, 2, 190), (7, 3, 160)])
+    assert {p[:2] for p in got} == {(2, 3)} and sorted(p[2] - p[3] for p in got) == [0, 30]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
