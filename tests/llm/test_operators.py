@@ -423,6 +423,13 @@ def test_substring_dedup_finds_a_second_passage_of_a_pair(spark):
     assert {p[:2] for p in got} == {(2, 3)} and sorted(p[2] - p[3] for p in got) == [0, 30]
 
 
+def test_substring_dedup_names_the_component_of_linked_texts(spark):
+    shared = named("w", 120)
+    rows = [(5, shared), (3, shared[:70] + named("a", 20)), (9, named("b", 20) + shared[60:]), (20, named("c", 60)), (21, named("c", 60))]
+    got = substring_dedup.dedup_report(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3), (9, 3), (20, 20), (21, 20)}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
