@@ -430,6 +430,20 @@ def test_substring_dedup_names_the_component_of_linked_texts(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3), (9, 3), (20, 20), (21, 20)}
 
 
+def test_substring_dedup_finds_edited_copies_of_a_frequent_passage(spark):
+    """Copies with an edit every 40 words: windows of 50 words have a similarity of 0.80 to the original."""
+    rng = random.Random(71)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 12):
+        text = list(base)
+        for place in range(3 * k, len(text), 40):
+            text[place] = f"new{rng.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    got = substring_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(12))
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
