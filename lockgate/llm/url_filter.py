@@ -37,6 +37,10 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.when(has, host).otherwise(""), F.when(has, path).otherwise("")
 
 
+#: The labels of host from the i-th to the last.
+SUFFIX = "array_join(slice(split(host, '[.]', -1), i, size(split(host, '[.]', -1))), '.')"
+
+
 def _prefix(digest: str) -> Column:
     """32 bits of a digest as a number."""
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
@@ -56,7 +60,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     rows = rows.select("page_id", host.alias("host"), path.alias("path"))
     places = rows.select("host", "path").filter("host <> ''").distinct()
-    suffixes = "transform(sequence(1, size(split(host, '[.]', -1))), i -> array_join(slice(split(host, '[.]', -1), i, 100000), '.'))"
+    suffixes = f"transform(sequence(1, size(split(host, '[.]', -1))), i -> {SUFFIX})"
     spans = "filter(array(" + ", ".join(f"{n}" for n in lengths) + "), n -> n <= length(path))" if lengths else "array()"
     expanded = (
         places.withColumn("suffix", F.explode(F.expr(suffixes)))

@@ -444,6 +444,12 @@ def test_substring_dedup_finds_edited_copies_of_a_frequent_passage(spark):
     assert {r.doc_id for r in got} == set(range(12))
 
 
+def test_url_filter_keeps_all_labels_of_a_host(spark):
+    host = "a." * 100_001 + "example"
+    rows = spark.createDataFrame([(host, 1), (host, 2)], "host string, i int").select("i", F.expr(url_filter.SUFFIX)).collect()
+    assert dict(map(tuple, rows)) == {1: host, 2: host[2:]}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000 + k) for k in range(50)]
