@@ -10,7 +10,7 @@ Mahalanobis distance are rejected.
 Every step is a grouped sum or quantile over a stored table of numbers, so a group may hold any share of the rows. Each
 covariance gets a small fixed variance added, since a share may be zero in nearly all rows. Groups of fewer than
 ``MIN_ROWS`` rows are pooled within their language, and pools that are still small over all languages; a pool
-smaller than that rejects nothing. A null language or source is a group like any other. Null or empty texts have no
+smaller than that is judged by the estimate of all rows, unless these are fewer too. A null language or source is a group like any other. Null or empty texts have no
 words and fail the base rules. Repeated rows count as often as they occur. Other columns are not read.
 """
 
@@ -31,6 +31,8 @@ P = len(NAMES)
 #: Standard deviations added to each transformed statistic.
 FLOORS = [0.03, 0.05, 0.05, 0.10]
 MIN_ROWS = 50
+#: The pool of what is small in its language too.
+LAST = "{}"
 KEEP = 0.75
 MAX_STEPS = 8
 #: Squared distance that one clean row in some 10^6 exceeds if the transformed statistics are normal.
@@ -124,7 +126,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
         F.col("source").alias("gs"),
         F.expr(f"CASE WHEN count >= {MIN_ROWS} THEN 0 WHEN pooled >= {MIN_ROWS} THEN 1 ELSE 2 END").alias("pool"),
     )
-    named = F.expr("CASE pool WHEN 0 THEN to_json(struct(0 AS p, gl, gs)) WHEN 1 THEN to_json(struct(1 AS p, gl)) ELSE '{}' END")
+    named = F.expr(f"CASE pool WHEN 0 THEN to_json(struct(0 AS p, gl, gs)) WHEN 1 THEN to_json(struct(1 AS p, gl)) ELSE '{LAST}' END")
     level = common.stored(level.withColumn("g", named), "groups")
     return rows.join(level, F.col("lang").eqNullSafe(F.col("gl")) & F.col("source").eqNullSafe(F.col("gs"))).drop("gl", "gs", "pool")
 
@@ -199,7 +201,10 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = common.stored(base_statistics(docs), "statistics")
     passed = rows.filter("NOT base_failed").withColumns({k: F.expr(e) for k, e in _FEATURES.items()})
     passed = _grouped(passed)
-    model = fit(common.stored(passed.select("g", *_FEATURES), "vectors"))
+    vectors = common.stored(passed.select("g", *_FEATURES), "vectors")
+    if 0 < vectors.filter(f"g = '{LAST}'").count() < MIN_ROWS:
+        vectors = vectors.union(vectors.filter(f"g != '{LAST}'").withColumn("g", F.lit(LAST)))
+    model = fit(vectors)
     judged = _with_distance(passed, model.drop("log_det")).withColumn("kept", F.expr(f"all_n < {MIN_ROWS} OR d2 <= {CUT}"))
     columns = ["doc_id", "rid", *COUNTS, "base_failed"]
     failed = rows.filter("base_failed").select(*columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance"))

@@ -151,6 +151,14 @@ def test_quality_rules(spark, docs, no_docs):
     assert {r.doc_id for r in judged if not r.kept} == set(range(200, 220))
 
 
+def test_quality_rules_judges_the_last_small_pool(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(words(rng, 90)), "en", "s") for i in range(150)]
+    rows += [(200, " ".join(words(rng, 90)), "rare", "t"), (201, " ".join(w + "###" for w in words(rng, 90)), "rare", "t")]
+    judged = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id for r in judged if not r.kept} == {201} and len(judged) == 152
+
+
 def test_mcd_steps_find_the_clean_majority(spark):
     rng = np.random.default_rng(1)
     clean, bad = rng.normal(0, 1, (300, 4)), rng.normal(8, 0.3, (60, 4))
