@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from lockgate.llm import (
     decontaminate,
     jaccard_join,
+    merkle,
     mixing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
+    secrets,
     sharding,
     substring_dedup,
     token_counts,
@@ -63,6 +66,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.find(texts))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +92,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_jaccard_join,
+        op11_periodic_runs,
+        op12_secret_scan,
+        op13_merkle_manifest,
     )
 }
 ORACLES = {
@@ -83,4 +102,6 @@ ORACLES = {
     "op4_warc": warc.ORACLE,
     "op7_url_filter": url_filter.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
+    "op12_secret_scan": secrets.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }

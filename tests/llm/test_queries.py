@@ -24,7 +24,7 @@ def test_query(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
