@@ -46,8 +46,12 @@ def location_name(path: Column) -> Column:
     )
     name = F.lower(squeezed)
     # A cut name ends in a hash of the path, so that two long paths keep two names.
-    cut = F.concat(F.substring(name, 1, K.MAX_LOCATION_NAME - 17), F.lit("_"), F.substring(F.sha2(path, 256), 1, 16))
-    return F.when(F.length(name) > K.MAX_LOCATION_NAME, cut).otherwise(name)
+    return F.when(F.length(name) > K.MAX_LOCATION_NAME, hashed_name(name, path)).otherwise(name)
+
+
+def hashed_name(name: Column, path: Column) -> Column:
+    """The name, cut if need be, with a hash of its path at the end."""
+    return F.concat(F.substring(name, 1, K.MAX_LOCATION_NAME - 17), F.lit("_"), F.substring(F.sha2(path, 256), 1, 16))
 
 
 def dotted(*parts: Column) -> Column:

@@ -135,7 +135,7 @@ def diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 def expected(permission_log: DataFrame) -> DataFrame:
     """What the log says was or would be granted."""
-    return permission_log.filter(F.col("status").isin("SUCCESS", "DRY_RUN")).select(
+    return permission_log.filter(F.col("status").isin("SUCCESS", "PLANNED", "DRY_RUN")).select(
         F.col("tgt_object").alias("object_name"), "principal", F.col("tgt_privilege").alias("privilege")
     )
 

@@ -62,3 +62,15 @@ def locations(roots: DataFrame, credential: str, dry_run: bool = True) -> DataFr
         F.lit(credential).alias("credential"),
         F.lit("DRY_RUN" if dry_run else "CREATED").alias("status"),
     )
+
+
+def location_collisions(made: DataFrame) -> DataFrame:
+    """Names that several paths share: squeezing may make two paths equal."""
+    return made.groupBy("location_name").agg(F.count_distinct("storage_path").alias("n_paths")).filter("n_paths > 1")
+
+
+def told_apart(made: DataFrame) -> DataFrame:
+    """The same locations, where each of the paths that share a name has a hash of its path at the end of it."""
+    shared = location_collisions(made).select("location_name", F.lit(True).alias("shared"))
+    name = F.when(F.col("shared"), names.hashed_name(F.col("location_name"), F.col("storage_path"))).otherwise(F.col("location_name"))
+    return made.join(shared, "location_name", "left").select(name.alias("location_name"), "storage_path", "credential", "status")

@@ -17,7 +17,7 @@ from lockgate import constants as K
 from lockgate import schemas
 from lockgate.functions import filters, names
 from lockgate.operators import compat
-from lockgate.sources import tables
+from lockgate.sources import published, tables
 
 
 def worklist(
@@ -73,6 +73,23 @@ def copy(
     return Moved(seen.get["rows"], tables.path_bytes(df.sparkSession, path))
 
 
+def replace(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    options: dict[str, str] | None = None,
+) -> Moved:
+    """A copy that takes the place of an earlier one: written aside, then published as the next version below ``path``.
+
+    Readers of ``published.latest(path)`` see the version before until the new one is whole; a failed run changes nothing.
+    """
+    staged = published.staging(path)
+    moved = copy(df, staged, fmt, partition_by, options)
+    published.publish(df.sparkSession, staged, path)
+    return moved
+
+
 def convert(
     spark: SparkSession,
     src_path: str,
@@ -104,6 +121,26 @@ def register(
     return tables.declare_external(spark, name, path, fmt, schema, partition_by, options)
 
 
+class SessionCatalog:
+    """Registers tables where they are, in the schema of the session's catalog that the target name asks for."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def name(self, row: Row) -> str:
+        _, schema, table = row["tgt_table"].split(".", 2)
+        return f"{tables.tick(schema)}.{tables.tick(table)}"
+
+    def __call__(self, row: Row, source) -> Moved:
+        schema = row["tgt_table"].split(".", 2)[1]
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.tick(schema)}")
+        register(self.spark, self.name(row), source.path, source.provider, source.load().schema, source.partition_columns)
+        return Moved(0, 0)
+
+    def load(self, row: Row) -> DataFrame:
+        return self.spark.table(self.name(row))
+
+
 def compact(
     spark: SparkSession,
     path: str,

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lockgate import constants as K
 from lockgate import schemas
@@ -17,7 +18,11 @@ from lockgate.sources import tables
 
 @dataclass
 class TableSource:
-    """One object to catalogue. ``load`` gives its rows; ``path`` is where its files lie, if known."""
+    """One object to catalogue. ``load`` gives its rows; ``path`` is where its files lie, if known.
+
+    ``key`` names the columns that tell rows apart, where a drill-down shall name them. With a ``schema`` and a file
+    format as provider, the files below ``path`` can be copied one by one.
+    """
 
     database: str
     name: str
@@ -33,6 +38,8 @@ class TableSource:
     output_format: str = ""
     properties: str = ""
     partition_columns: Sequence[str] = field(default_factory=list)
+    key: Sequence[str] = field(default_factory=list)
+    schema: StructType | None = None
 
 
 def is_delta(provider: Column, serde: Column) -> Column:

@@ -224,7 +224,7 @@ def partitions(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame
 # ---------------------------------------------------------------- hashes
 
 
-def _hashed(df: DataFrame, key: Sequence[str], columns: Sequence[str], hash_kind: str) -> DataFrame:
+def hashed(df: DataFrame, key: Sequence[str], columns: Sequence[str], hash_kind: str) -> DataFrame:
     """Key columns, row hash and key hash (without a key the row hash serves as both)."""
     row = hashing.row_hash(df.schema, columns, hash_kind).alias("_row")
     place = hashing.row_hash(df.schema, list(key), hash_kind).alias("_place") if key else F.col("_row").alias("_place")
@@ -235,7 +235,7 @@ def fingerprint(
     df: DataFrame, buckets: int, key: Sequence[str] = (), columns: Sequence[str] | None = None, hash_kind: str = "fast"
 ) -> DataFrame:
     """(bucket, n_rows, fingerprint): order-free, the same for any partitioning, sensitive to duplicates."""
-    rows = _hashed(df, key, columns or df.columns, hash_kind)
+    rows = hashed(df, key, columns or df.columns, hash_kind)
     grouped = rows.groupBy(hashing.bucket("_place", buckets).alias("bucket"))
     summed = _agg(grouped, ["count(*) AS n_rows", *exactsum.lane_sums("_row", "hash")])
     return summed.selectExpr("bucket", "n_rows", f"{exactsum.lane_total('hash')} AS fingerprint")
@@ -291,7 +291,7 @@ def row_diff(
     """
     tgt = _aligned(src, tgt)
     columns = src.columns
-    rows = _stack(_hashed(src, key, columns, hash_kind), _hashed(tgt, key, columns, hash_kind))
+    rows = _stack(hashed(src, key, columns, hash_kind), hashed(tgt, key, columns, hash_kind))
     if buckets:
         rows = _only_suspect(rows, _suspects(src, tgt, buckets, key, hash_kind), "_place", buckets)
     balances = [

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from lockgate.functions import filters, names
 from lockgate.operators import grants
 from lockgate.sources import tables
 
+DROPPED = "DROPPED"
 SCOPES = ("FULL", "TABLES_ONLY", "VIEWS_ONLY", "GRANTS_ONLY")
 
 
@@ -142,6 +143,78 @@ def plan(
     return tables.union_all(parts).withColumn("status", F.lit("DRY_RUN" if dry_run else "PLANNED"))
 
 
+def last_states(history: DataFrame, made: Sequence[str] = ("SUCCESS",)) -> DataFrame:
+    """(src_table, tgt_table, strategy) of every object that the log says is there.
+
+    ``history`` holds the rows of all runs (src_table, tgt_table, strategy, status, migrated_at). Only rows that changed
+    something count: a success makes an object, DROPPED takes it away; a dry run, a failure or a table nobody registered
+    leaves what was there. The last such row of an object decides; at one moment a drop comes after a success.
+    """
+    changed = history.filter(F.col("status").isin([*made, DROPPED]))
+    moment = F.struct("migrated_at", (F.col("status") == DROPPED).alias("gone"))
+    last = changed.groupBy("tgt_table").agg(
+        F.max_by("status", moment).alias("status"), F.max_by("src_table", moment).alias("src_table"), F.max_by("strategy", moment).alias("strategy")
+    )
+    return last.filter(F.col("status") != DROPPED).select("src_table", "tgt_table", "strategy")
+
+
+def plan_from_log(
+    history: DataFrame,
+    mapping: DataFrame | None = None,
+    permission_log: DataFrame | None = None,
+    view_layers: DataFrame | None = None,
+    scope: str = "FULL",
+    databases: str = "",
+    dry_run: bool = True,
+    confirm: bool = False,
+    made: Sequence[str] = ("SUCCESS",),
+) -> DataFrame:
+    """Rows (step, place, action, tgt_object, src_object, statement, status), to be run by step and place.
+
+    Only what the log says the runs made is dropped. Views go before tables and before the views they read:
+    ``view_layers`` (view, layer) comes from ``viewsql.order``. Containers follow only in a full rollback of every
+    database, and only where ``mapping`` says that the run created them.
+    """
+    guard(dry_run, confirm)
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}")
+    kind = F.when(F.col("strategy") == K.RECREATE_VIEW, "VIEW").otherwise("TABLE")
+    cut = F.split("tgt_table", "[.]", 3)
+    objects = last_states(history, made).select(
+        F.element_at(cut, 1).alias("tgt_catalog"),
+        F.element_at(cut, 2).alias("tgt_schema"),
+        F.element_at(cut, 3).alias("object_name"),
+        kind.alias("object_type"),
+        F.substring_index("src_table", ".", 1).alias("src_database"),
+    )
+    planned = plan(objects, mapping if mapping is not None else _no_mapping(history), permission_log, scope, databases, dry_run, confirm)
+    if view_layers is None:
+        layered = planned.withColumn("layer", F.lit(None).cast("int"))
+    else:
+        layered = planned.join(view_layers.select(F.col("view").alias("src_object"), "layer"), "src_object", "left")
+    # Views of a circle have no layer and go first; nothing that was placed reads them.
+    place = F.when(F.col("action") == "DROP_VIEW", -1 - F.coalesce("layer", F.lit(1 << 20))).otherwise(0)
+    return layered.select("step", place.cast("int").alias("place"), "action", "tgt_object", "src_object", "statement", "status")
+
+
+def _no_mapping(like: DataFrame) -> DataFrame:
+    return tables.frame(like.sparkSession, [], schemas.SCHEMA_MAPPING)
+
+
+def dropped(planned: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Rows of the migration log for objects whose drops were carried out, so that a later replay knows they are gone."""
+    done = planned.filter(F.col("action").isin("DROP_TABLE", "DROP_VIEW"))
+    values = {
+        "src_table": F.col("src_object"),
+        "tgt_table": F.col("tgt_object"),
+        "strategy": F.when(F.col("action") == "DROP_VIEW", K.RECREATE_VIEW).otherwise(K.DEEP_COPY),
+        "status": F.lit(DROPPED),
+        "migrated_at": F.lit(run_ts),
+    }
+    none = F.lit(None)
+    return done.select(*[values.get(f.name, none).cast(f.dataType).alias(f.name) for f in schemas.MIGRATION_LOG.fields])
+
+
 def log(planned: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return planned.select(
         "action", "tgt_object", "src_object", "statement", "status", F.lit(run_ts).alias("planned_at")

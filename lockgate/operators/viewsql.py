@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lockgate import schemas
 from lockgate.functions import names, sqltext
+from lockgate.sources import scratch, tables
 
 
 def rewrite_refs(
@@ -80,3 +85,98 @@ def recreate(views: DataFrame, mapping: DataFrame, catalog: str, dry_run: bool =
         sqltext.create_view(F.lit(catalog), schema, F.col("table_name"), F.col("adapted")).alias("create_sql"),
         _status(dry_run).alias("status"),
     )
+
+
+def strict_session(spark: SparkSession) -> SparkSession:
+    """A session that keeps reserved words reserved, so that ``SELECT FROM WHERE`` is no query."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.ansi.enabled", "true")
+    session.conf.set("spark.sql.ansi.enforceReservedKeywords", "true")
+    return session
+
+
+def parse_error(session: SparkSession, text: str) -> str | None:
+    """What Spark's own parser has against a text under the settings of ``session``, or None."""
+    active = session._jvm.org.apache.spark.sql.classic.SparkSession
+    before = active.getActiveSession()
+    active.setActiveSession(session._jsparkSession)
+    try:
+        session._jsparkSession.sessionState().sqlParser().parsePlan(text)
+        return None
+    except (Py4JJavaError, PySparkException) as error:
+        return " ".join(str(error).split()) or type(error).__name__
+    finally:
+        active.setActiveSession(before.get()) if before.isDefined() else active.clearActiveSession()
+
+
+def checked(
+    spark: SparkSession,
+    recreated: DataFrame,
+    create: Callable[[str], object] | None = None,
+    dry_run: bool = True,
+    max_parallel: int = 4,
+) -> DataFrame:
+    """(src_view, tgt_view, create_sql, status, error_message) after every text went through Spark's parser.
+
+    The driver holds one text per view, a few at a time. A dry run creates nothing: DRY_RUN_OK or
+    DRY_RUN_SYNTAX_ERROR. Otherwise ``create`` runs each statement, SUCCESS or ERROR; without it good texts are PLANNED.
+    """
+    session = strict_session(spark)
+
+    def check(row) -> tuple:
+        named = (row["src_view"], row["tgt_view"], row["create_sql"])
+        if row["create_sql"] is None:
+            return (*named, "EXTRACTION_ERROR", "the view has no text")
+        error = parse_error(session, row["adapted"])
+        if error is None and row["status"] in ("DRY_RUN_SYNTAX_ERROR", "ERROR"):
+            error = "the text is no query"
+        if error is not None:
+            return (*named, "DRY_RUN_SYNTAX_ERROR" if dry_run else "ERROR", error)
+        if dry_run:
+            return (*named, "DRY_RUN_OK", None)
+        if create is None:
+            return (*named, "PLANNED", None)
+        try:
+            create(row["create_sql"])
+            return (*named, "SUCCESS", None)
+        except Exception as failure:  # noqa: BLE001 - one view must not stop the others
+            return (*named, "ERROR", f"{type(failure).__name__}: {failure}")
+
+    with ThreadPoolExecutor(max_parallel) as pool:
+        return tables.frame(spark, pool.map(check, recreated.toLocalIterator()), schemas.VIEW_LOG)
+
+
+def references(views: DataFrame) -> DataFrame:
+    """(view, needs): each object that the text of a view (database_name, table_name, ddl) names as a pair, once."""
+    found = F.regexp_extract_all(sqltext.view_body(F.col("ddl")), F.lit(sqltext.REFERENCE), F.lit(0))
+    rows = views.select(names.dotted(F.col("database_name"), F.col("table_name")).alias("view"), F.explode(found).alias("ref"))
+    return rows.select("view", F.replace("ref", F.lit("`"), F.lit("")).alias("needs")).distinct()
+
+
+def order(views: DataFrame) -> DataFrame:
+    """(view, layer, status) of every view: the views it reads are all in lower layers, so layers can be created in turn.
+
+    Views that read no view are layer 0. Each round places the views whose references are all placed, so there are as
+    many rounds as layers. Views in a circle, and those that read one, are never placed: layer NULL, status CYCLE.
+    """
+    everyone = scratch.materialize(views.select(names.dotted(F.col("database_name"), F.col("table_name")).alias("view")).distinct(), "views")
+    needs = references(views).join(everyone.withColumnRenamed("view", "needs"), "needs")
+    needs = scratch.materialize(needs.select("view", "needs"), "needs")
+    placed = scratch.materialize(
+        everyone.join(needs.select("view").distinct(), "view", "left_anti").withColumn("layer", F.lit(0)), "placed"
+    )
+    layer, waiting = 0, needs
+    while True:
+        waiting = scratch.materialize(
+            waiting.join(placed.filter(F.col("layer") == layer).select(F.col("view").alias("needs")), "needs", "left_anti").select("view", "needs"),
+            "waiting",
+        )
+        layer += 1
+        left = everyone.join(placed.select("view"), "view", "left_anti")
+        ready = scratch.materialize(left.join(waiting.select("view").distinct(), "view", "left_anti").withColumn("layer", F.lit(layer)), "ready")
+        if ready.isEmpty():
+            break
+        placed = scratch.materialize(placed.unionByName(ready), "placed")
+    circular = everyone.join(placed.select("view"), "view", "left_anti").withColumn("layer", F.lit(None).cast("int"))
+    status = F.when(F.col("layer").isNull(), "CYCLE").otherwise("ORDERED")
+    return placed.unionByName(circular).withColumn("status", status)

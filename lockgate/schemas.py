@@ -53,7 +53,16 @@ GRANTS = struct(
 FINDINGS = struct(
     "src_table string, scope string, item string, metric string, src_value string, tgt_value string, status string"
 )
-INTEGRITY =struct("table_name string, n_rows bigint, status string, error_message string")
+INTEGRITY = struct("table_name string, n_rows bigint, status string, error_message string")
 ROLLBACK_LOG = struct(
     "action string, tgt_object string, src_object string, statement string, status string, planned_at timestamp"
 )
+PERMISSION_LOG = struct(
+    """
+    src_object string, tgt_object string, principal string, src_privilege string, tgt_privilege string,
+    grant_sql string, status string, error_message string
+    """
+)
+VIEW_LOG = struct("src_view string, tgt_view string, create_sql string, status string, error_message string")
+GATE = struct("src_table string, check string, n_checks bigint, n_failed bigint, detail string, status string")
+DRILLDOWN = struct("src_table string, key string, n_src bigint, n_tgt bigint, finding string")

@@ -27,6 +27,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lockgate-{label}-{uuid.uuid4().hex}"
 
 
+def name() -> str:
+    """A name nobody has used yet."""
+    return uuid.uuid4().hex
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a (small) intermediate result once and read it back: cuts lineage, survives executor loss."""
     path = new_folder(df.sparkSession, label)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lockgate.functions.exactsum import tick
+
 # Written and read with the same options, every string (also '' and NULL, quotes and line breaks)
 # and every microsecond comes back unchanged.
 CSV_OPTIONS = {
@@ -25,7 +28,7 @@ CSV_OPTIONS = {
 CSV_ROWS_PER_FILE = 1_000_000
 
 
-def _options(fmt: str, options: dict[str, str] | None) -> dict[str, str]:
+def format_options(fmt: str, options: dict[str, str] | None) -> dict[str, str]:
     return {**(CSV_OPTIONS if fmt == "csv" else {}), **(options or {})}
 
 
@@ -42,7 +45,7 @@ def read(
     """
     if fmt is None:
         return spark.table(ref)
-    reader = spark.read.format(fmt).options(**_options(fmt, options))
+    reader = spark.read.format(fmt).options(**format_options(fmt, options))
     if schema is None:
         return reader.load(ref)
     return reader.schema(schema).load(ref).select(*schema.fieldNames())
@@ -69,7 +72,7 @@ def write(
     """Write files. Without partition columns there is no shuffle."""
     if max_records_per_file is None and fmt == "csv":
         max_records_per_file = CSV_ROWS_PER_FILE
-    writer = df.write.format(fmt).mode(mode).options(**_options(fmt, options))
+    writer = df.write.format(fmt).mode(mode).options(**format_options(fmt, options))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -96,6 +99,22 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def quoted(text: str) -> str:
+    """A SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """Where the files of a metastore table lie."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])["location"].rstrip("/")
+
+
+def location_of(spark: SparkSession, path: str) -> str:
+    """A path as the metastore writes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+
+
 def declare_external(
     spark: SparkSession,
     name: str,
@@ -106,18 +125,18 @@ def declare_external(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Register files where they are: declared schema, then partition discovery. No data is copied."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    given = _options(fmt, options)
-    option_list = ", ".join(f"'{k}' = r'{v}'" for k, v in given.items() if "'" not in v)
-    quoted = {k: v for k, v in given.items() if "'" in v}
-    option_list = ", ".join(filter(None, [option_list, *(f"'{k}' = \"{v}\"" for k, v in quoted.items())]))
+    columns = ", ".join(f"{tick(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    option_list = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in format_options(fmt, options).items())
     clauses = [f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}"]
     if option_list:
         clauses.append(f"OPTIONS ({option_list})")
     if partition_by:
-        clauses.append(f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})")
-    clauses.append(f"LOCATION '{path}'")
+        clauses.append(f"PARTITIONED BY ({', '.join(map(tick, partition_by))})")
+    clauses.append(f"LOCATION {quoted(path)}")
     spark.sql(" ".join(clauses))
+    there = location(spark, name)
+    if there != location_of(spark, path):
+        raise ValueError(f"{name} is there already, at {there}")
     if partition_by:
         spark.catalog.recoverPartitions(name)
     return spark.table(name).select(*schema.fieldNames())

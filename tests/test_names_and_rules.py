@@ -1,5 +1,7 @@
 """Name rules, risk classes, name mapping, storage roots, statistics texts."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,8 +77,23 @@ def test_storage_roots(spark, path, root, location):
     assert one(spark, root, names.location_name) == location
 
 
-def test_location_name_is_cut(spark):
-    assert one(spark, "/" + "a" * 300, names.location_name) == "a" * 127
+def test_long_location_names_are_cut_and_stay_apart(spark):
+    """A name over the limit keeps its start and ends in a hash of the whole path."""
+    paths = ["/" + "a" * 300, "/" + "a" * 301, "/" + "a" * 127 + "/x", "/" + "a" * 127 + "/y", "/" + "a" * 127]
+    found = [one(spark, p, names.location_name) for p in paths]
+    assert found[-1] == "a" * 127
+    assert all(len(n) == 127 and re.fullmatch(r"a{110}_[0-9a-f]{16}", n) for n in found[:-1])
+    assert len(set(found)) == len(paths)
+
+
+def test_paths_that_share_a_location_name_are_told_apart(spark):
+    paths = ["s3://a-b", "s3://a_b", "s3://a/b", "s3://c", "s3://d"]
+    roots = spark.createDataFrame([(p,) for p in [*paths, "s3://c"]], "storage_path string")
+    made = mapping.locations(roots, "main")
+    assert {(r.location_name, r.n_paths) for r in mapping.location_collisions(made).collect()} == {("s3_a_b", 3)}
+    apart = {r.storage_path: r.location_name for r in mapping.told_apart(made).collect()}
+    assert len(set(apart.values())) == len(paths)
+    assert apart["s3://c"] == "s3_c" and all(re.fullmatch("s3_a_b_[0-9a-f]{16}", apart[p]) for p in paths[:3])
 
 
 def test_parse_stats(spark):
