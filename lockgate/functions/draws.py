@@ -1,8 +1,10 @@
 """Deterministic draws for synthetic data: pure functions of (seed, table, column, row key).
 
 A row's values do not depend on partitioning, order or retries, and any row can be made alone.
-Everything is 64-bit integer arithmetic inside generated code: a state is mixed once per row by
-squaring modulo a prime, and each column squares it again with its own offset.
+Everything is 64-bit integer arithmetic inside generated code. A row's state has two lanes, the key modulo two primes, each
+mixed by steps that are one-to-one modulo its prime (a linear step and a fifth power, as 5 divides neither prime less one).
+So two keys below ``KEYS`` (about 2^62) never share a state, and rows do not repeat. A draw squares both lanes with the
+offset of its column and adds them up.
 """
 
 from __future__ import annotations
@@ -15,14 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The prime 2^31 - 1 and the multipliers and offsets of the mixing steps.
+# The primes 2^31 - 1 and 2^31 - 19 and the multipliers and offsets of the mixing steps.
 PRIME = 2_147_483_647
-HIGH_FACTOR = 7_919
-MIX_1, ADD_1, SQUARE_1 = 48_271, 11, 12_345
-MIX_2, ADD_2, SQUARE_2 = 69_621, 7, 54_321
+PRIME_2 = 2_147_483_629
+MIX_1, ADD_1 = 48_271, 12_345
+MIX_2, ADD_2 = 69_621, 54_321
 COLUMN_FACTOR, STEP_FACTOR, WIDEN = 16_807, 1_000_003, 32_768
+KEYS = PRIME * PRIME_2
 
-STATE = "_state"
+STATE, STATE_2 = "_state", "_state_2"
+LANES = ((STATE, PRIME), (STATE_2, PRIME_2))
 
 
 def stream(table: str, column: str) -> int:
@@ -30,13 +34,16 @@ def stream(table: str, column: str) -> int:
 
 
 def with_state(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """Add the row state for a non-negative bigint key that is unique per row."""
-    k = F.col(key).cast("bigint")
-    x = (k.bitwiseAND(F.lit(PRIME)) + F.shiftright(k, 31) * HIGH_FACTOR + seed) % PRIME
-    x = (x * MIX_1 + ADD_1) % PRIME
-    x = (x * x + SQUARE_1) % PRIME
-    x = (x * MIX_2 + ADD_2) % PRIME
-    return df.withColumn(STATE, (x * x + SQUARE_2) % PRIME)
+    """Add the row state for a bigint key that is unique per row and lies between 0 and ``KEYS`` less the seed."""
+
+    def mixed(x: Column, prime: int, factor: int, offset: int) -> Column:
+        y = (x * factor + offset) % prime
+        square = y * y % prime
+        return square * square % prime * y % prime
+
+    shifted = F.col(key).cast("bigint") + seed
+    df = df.withColumns({name: mixed(shifted % prime, prime, MIX_1, ADD_1) for name, prime in LANES})
+    return df.withColumns({name: mixed(F.col(name), prime, MIX_2, ADD_2) for name, prime in LANES})
 
 
 class Draws:
@@ -52,8 +59,8 @@ class Draws:
         """0 .. PRIME-1; ``step`` gives several draws per row."""
         offset = stream(self.table, column)
         moved = f" + CAST({step} AS BIGINT) * {STEP_FACTOR}" if step else ""
-        y = f"(({STATE} + {offset}{moved}) % {PRIME})"
-        return f"(({y} * {y} % {PRIME} * {COLUMN_FACTOR} + {offset}) % {PRIME})"
+        y, z = (f"(({name} + {offset}{moved}) % {prime})" for name, prime in LANES)
+        return f"(({y} * {y} % {PRIME} * {COLUMN_FACTOR} + {z} * {z} % {PRIME_2}) % {PRIME})"
 
     def below_sql(self, column: str, n: int, step: str | None = None) -> str:
         """0 .. n-1. Wide ranges take a second draw, as one has 31 bits only."""

@@ -59,7 +59,8 @@ def apply_rules(inv: DataFrame) -> DataFrame:
     )
 
 
-def needs_conversion(provider: Column) -> Column:
+def readable_format(provider: Column) -> Column:
+    """Whether files of this format can be read and converted; others need a look."""
     return F.coalesce(F.lower(provider).isin(K.FORMATS_TO_CONVERT), F.lit(False))
 
 
@@ -94,6 +95,13 @@ def view_refs(views: DataFrame) -> DataFrame:
     )
 
 
+def formats(inv: DataFrame) -> DataFrame:
+    """(data_provider, convertible, n_objects) of what has to be converted."""
+    todo = inv.filter((strategy() == K.CONVERT) & F.col("object_type").isin(K.MANAGED, K.EXTERNAL))
+    by = todo.groupBy(F.lower("data_provider").alias("data_provider")).agg(F.count("*").alias("n_objects"))
+    return by.select("data_provider", readable_format(F.col("data_provider")).alias("convertible"), "n_objects")
+
+
 def plan(checks: DataFrame) -> DataFrame:
     return checks.groupBy("recommended_strategy", "migration_complexity").agg(F.count("*").alias("n_objects"))
 

@@ -88,7 +88,8 @@ def update(
         folder = f"{base}/data/{VERSION}={version}"
         seen = Observation()
         reader = spark.read.format(fmt).options(**tables.format_options(fmt, options)).option("basePath", src_path).schema(schema)
-        read = reader.load(changed).select(*schema.fieldNames(), _file_id().alias(FILE)).observe(seen, F.count(F.lit(1)).alias("rows"))
+        found = reader.load(changed).select(*[tables.tick(c) for c in schema.fieldNames()], _file_id().alias(FILE))
+        read = (tables.unescaped(found) if tables.is_escaped(fmt, options) else found).observe(seen, F.count(F.lit(1)).alias("rows"))
         read.write.partitionBy(FILE, *partition_by).parquet(folder)
         rows, size = seen.get["rows"], tables.path_bytes(spark, folder)
     if changed or removed or version == 1:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -11,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lockgate import constants as K
 from lockgate import schemas
@@ -150,15 +149,75 @@ def compact(
     target_bytes: int = 256 * 1024 * 1024,
     schema: StructType | None = None,
 ) -> Moved:
-    """Rewrite many small files as few of about ``target_bytes``; the size comes from file metadata.
+    """Rewrite many small files as few of about ``target_bytes``; the sizes come from file metadata.
 
-    Unpartitioned tables are dealt out evenly, so that no task gets more than its share. Partitioned
-    ones are rebalanced per partition value, a large value over many tasks.
+    Without partition columns files are packed into groups of that size and each group is read and written by one task:
+    no row moves between tasks. Partitioned tables are rebalanced per partition value, a large value over many tasks.
     """
-    df = tables.read(spark, path, fmt, schema)
-    if not partition_by:
-        df = df.repartition(max(1, math.ceil(tables.path_bytes(spark, path) / target_bytes)))
-    return copy(df, new_path, fmt, partition_by)
+    if partition_by:
+        return copy(tables.read(spark, path, fmt, schema), new_path, fmt, partition_by)
+    return copy(packed(spark, path, fmt, schema, target_bytes), new_path, fmt)
+
+
+def packed(spark: SparkSession, path: str, fmt: str, schema: StructType | None, target_bytes: int) -> DataFrame:
+    """The files below a path, read by one task for about every ``target_bytes`` of them.
+
+    The reader packs files into tasks by their sizes; a session of its own tells it how large a pack may be.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    return tables.read(own, path, fmt, schema)
+
+
+#: With any option set, the optimizer parses the whole line even where few fields are used, and so sees every fault in it.
+PERMISSIVE = {"mode": "PERMISSIVE"}
+QUARANTINE = schemas.struct("reason string, line string")
+
+
+@dataclass
+class Converted:
+    """Rows that were converted, rows set aside, and the lines that were read; the first two add up to the last."""
+
+    moved: Moved
+    quarantined: int
+    lines: int
+
+
+def convert_json(
+    spark: SparkSession,
+    src_path: str,
+    path: str,
+    quarantine_path: str,
+    schema: StructType | None = None,
+    sampling: float = 0.1,
+    fmt: str = "parquet",
+) -> Converted:
+    """JSON lines into a columnar format; a line that does not fit the schema goes to a quarantine table as it is.
+
+    Without a schema one is inferred from a share of the lines. A line is set aside as MALFORMED if it is no JSON object
+    or a value has another type than the schema says, as UNKNOWN_FIELD if it has a field that the schema lacks, so nothing
+    that the sample missed is lost without a trace. Empty lines count as malformed. Raises if the counts do not add up.
+    """
+    schema = schema or spark.read.option("samplingRatio", sampling).option("primitivesAsString", "false").json(src_path).schema
+    schema = StructType([f for f in schema.fields if f.name != "_corrupt_record"])
+    parsed = StructType([*schema.fields, StructField("_corrupt_record", StringType())])
+    lines = spark.read.text(src_path).select(F.col("value").alias("line"), F.from_json("value", parsed, PERMISSIVE).alias("row"))
+    known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+    unknown = F.size(F.array_except(F.coalesce(F.json_object_keys("line"), F.array().cast("array<string>")), known)) > 0
+    broken = F.col("row").isNull() | F.col("row._corrupt_record").isNotNull() | F.json_object_keys("line").isNull()
+    judged = lines.select("*", F.when(broken, "MALFORMED").when(unknown, "UNKNOWN_FIELD").alias("reason"))
+    good = judged.filter("reason IS NULL").select(*[F.col("row").getField(f.name).alias(f.name) for f in schema.fields])
+    moved = copy(good, path, fmt)
+    aside = copy(judged.filter("reason IS NOT NULL").select("reason", "line"), quarantine_path, fmt)
+    total = lines.count()
+    if moved.rows + aside.rows != total:
+        raise ValueError(f"{total} lines were read, {moved.rows} converted and {aside.rows} set aside")
+    return Converted(moved, aside.rows, total)
 
 
 def run(

@@ -111,42 +111,45 @@ def inventory(
     return tables.union_all([known, *[f for f in found if isinstance(f, DataFrame)]])
 
 
-def catalog_sources(spark: SparkSession, databases: str = "") -> list[TableSource]:
+def catalog_sources(spark: SparkSession, databases: str = "", max_parallel: int = 4) -> list[TableSource]:
     """The metastore's tables and views; temporary ones are left out.
 
     Facts come from DESCRIBE ... AS JSON, so a column named "Type" or "Owner" is never taken for one.
     """
     wanted = {d.strip() for d in databases.split(",") if d.strip()}
-    found = []
-    for db in spark.catalog.listDatabases():
-        if wanted and db.name not in wanted:
-            continue
-        for entry in spark.catalog.listTables(db.name):
-            if entry.isTemporary:
-                continue
-            name = f"`{db.name}`.`{entry.name}`"
-            try:
-                facts = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
-            except Exception:  # noqa: BLE001 - the load below fails too and makes the ERROR row
-                facts = {}
-            found.append(
-                TableSource(
-                    database=db.name,
-                    name=entry.name,
-                    load=lambda n=name: spark.table(n),
-                    object_type=facts.get("type", entry.tableType or ""),
-                    provider=facts.get("provider", ""),
-                    path="" if facts.get("type") == K.VIEW else facts.get("location", ""),
-                    owner=facts.get("owner", ""),
-                    database_location=db.locationUri or "",
-                    serde=facts.get("serde_library", ""),
-                    input_format=facts.get("input_format", ""),
-                    output_format=facts.get("output_format", ""),
-                    properties=json.dumps(facts.get("table_properties", {})),
-                    partition_columns=facts.get("partition_columns", []),
-                )
-            )
-    return found
+    entries = [
+        (db, entry)
+        for db in spark.catalog.listDatabases()
+        if not wanted or db.name in wanted
+        for entry in spark.catalog.listTables(db.name)
+        if not entry.isTemporary
+    ]
+
+    def described(pair: tuple) -> TableSource:
+        db, entry = pair
+        name = f"{tables.tick(db.name)}.{tables.tick(entry.name)}"
+        try:
+            facts = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
+        except Exception:  # noqa: BLE001 - the load below fails too and makes the ERROR row
+            facts = {}
+        return TableSource(
+            database=db.name,
+            name=entry.name,
+            load=lambda: spark.table(name),
+            object_type=facts.get("type", entry.tableType or ""),
+            provider=facts.get("provider", ""),
+            path="" if facts.get("type") == K.VIEW else facts.get("location", ""),
+            owner=facts.get("owner", ""),
+            database_location=db.locationUri or "",
+            serde=facts.get("serde_library", ""),
+            input_format=facts.get("input_format", ""),
+            output_format=facts.get("output_format", ""),
+            properties=json.dumps(facts.get("table_properties", {})),
+            partition_columns=facts.get("partition_columns", []),
+        )
+
+    with ThreadPoolExecutor(max_parallel) as pool:
+        return list(pool.map(described, entries))
 
 
 def summary(inv: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ as one partial row per task. Nothing is collected, sampled by row order or cut s
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
@@ -123,21 +124,30 @@ def with_count_status(df: DataFrame, tolerance_pct: float = 0.0) -> DataFrame:
     )
 
 
-def counts(spark: SparkSession, pairs: Sequence[Pair], tolerance_pct: float = 0.0) -> DataFrame:
-    """Row counts of all pairs in one job; each side is scanned once, reading no columns."""
+def counts(
+    spark: SparkSession, pairs: Sequence[Pair], tolerance_pct: float = 0.0, isolate: bool = False, max_parallel: int = 4
+) -> DataFrame:
+    """Row counts of all pairs in one job; each side is scanned once, reading no columns.
+
+    ``isolate`` counts each side by a job of its own, so that a damaged file costs no more than its own pair.
+    """
     empty = frame(spark, [], schemas.struct(f"table_name string, {SIDE} boolean, n bigint"))
 
     def side(pair: Pair, is_src: bool) -> DataFrame:
         df = pair.src if is_src else pair.tgt
         try:
             df = df() if callable(df) else df
+            if isolate:
+                return frame(spark, [(pair.name, is_src, df.count())], empty.schema)
         except Exception:  # noqa: BLE001 - an unreadable side is reported, the other pairs go on
             return frame(spark, [(pair.name, is_src, -1)], empty.schema)
         return df.agg(F.count("*").alias("n")).select(
             F.lit(pair.name).alias("table_name"), F.lit(is_src).alias(SIDE), "n"
         )
 
-    rows = union_all([empty, *[side(p, is_src) for p in pairs for is_src in (True, False)]])
+    with ThreadPoolExecutor(max_parallel if isolate else 1) as pool:
+        sides = list(pool.map(lambda s: side(*s), [(p, is_src) for p in pairs for is_src in (True, False)]))
+    rows = union_all([empty, *sides])
     per_table = rows.groupBy("table_name").agg(
         F.max(_on_src(F.col("n"))).alias("n_src"), F.max(_on_tgt(F.col("n"))).alias("n_tgt")
     )
@@ -324,6 +334,44 @@ def sampled_hash(
     return row_diff(sampled(src), sampled(tgt), key, hash_kind=hash_kind)
 
 
+def smallest_place(df: DataFrame, key: Sequence[str], k: int, hash_kind: str = "fast") -> int | None:
+    """The k-th smallest hash of a key of the table, the largest one if it has fewer keys, None if it has none.
+
+    Only hashes below a bound are looked at. The bound starts where a few times k keys are expected and grows until k
+    are below it, so nearly all rows stay where they are, and the answer is exact at any size.
+    """
+    places = df.select(hashing.row_hash(df.schema, list(key), hash_kind).alias("place"))
+    low = -(1 << 63) if hash_kind == "fast" else 0
+    width = (1 << 64) if hash_kind == "fast" else (1 << 60)
+    rows = df.count()
+    share = 4 * k / rows if rows else 1.0
+    while True:
+        bound = F.lit(min(low + round(share * width), (1 << 63) - 1)) if share < 1 else None
+        near = places if bound is None else places.filter(F.col("place") <= bound)
+        first = near.distinct().orderBy("place").limit(k)
+        found = first.agg(F.count("*"), F.max("place")).first()
+        if found[0] == k or bound is None:
+            return found[1]
+        share *= 16
+
+
+def sample_k(src: DataFrame, tgt: DataFrame, key: Sequence[str], k: int, hash_kind: str = "fast") -> DataFrame:
+    """Row diff over the k keys of the source with the smallest hashes: a sample of exact size, the same on every side.
+
+    The target is compared wherever its keys hash into the same range, so keys that only the target has show up too.
+    """
+    last = smallest_place(src, key, k, hash_kind)
+    if last is None:
+        last = smallest_place(tgt, key, k, hash_kind)
+    if last is None:
+        return row_diff(src, tgt, key, hash_kind=hash_kind)
+
+    def sampled(df: DataFrame) -> DataFrame:
+        return df.filter(hashing.row_hash(df.schema, list(key), hash_kind) <= F.lit(last))
+
+    return row_diff(sampled(src), sampled(tgt), key, hash_kind=hash_kind)
+
+
 def multiset_diff(src: DataFrame, tgt: DataFrame, buckets: int | None = None, hash_kind: str = "fast") -> DataFrame:
     """Rows that occur a different number of times, for tables without a key (both EXCEPT ALLs at once)."""
     columns, tgt = src.columns, _aligned(src, tgt)

@@ -98,8 +98,9 @@ def score_band(score):
 def clients_by_band(clients: DataFrame, bands: DataFrame, state: str = "SP") -> DataFrame:
     """Clients of one state with the description of their score band (codigo, descricao).
 
-    The join key is computed from the score. ``bands`` has one row per band letter, hence the hint.
+    The join key is computed from the score. At most three rows are broadcast, one a letter; of several descriptions of
+    a letter the smallest counts.
     """
     banded = clients.filter(F.col("uf") == state).withColumn("codigo", score_band(F.col("score")))
-    letters = bands.filter(F.col("codigo").isin("A", "B", "C")).groupBy("codigo").agg(F.first("descricao").alias("faixa"))
+    letters = bands.filter(F.col("codigo").isin("A", "B", "C")).groupBy("codigo").agg(F.min("descricao").alias("faixa"))
     return banded.join(F.broadcast(letters), "codigo").select("id", "nome", "score", "faixa")

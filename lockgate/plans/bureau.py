@@ -115,6 +115,8 @@ CITIES = ["Sao Paulo", "Campinas", "Curitiba", "Salvador", "Recife", "Manaus", "
 YEAR = 365
 MONTHS_OF_HISTORY = 24
 MONTHS_OF_PRICES = 48
+#: Keys of monthly rows are client * MONTH_KEYS + month; a history has at most this many months.
+MONTH_KEYS = 1024
 
 
 @dataclass
@@ -283,11 +285,13 @@ def score_letter(score: Column) -> Column:
 
 
 def score_historico(persons: DataFrame, recipe: Recipe, months: int = MONTHS_OF_HISTORY) -> DataFrame:
+    if not 0 < months <= MONTH_KEYS:
+        raise ValueError(f"a history has 1 to {MONTH_KEYS} months")
     d = Draws("score_historico")
     walks = with_state(persons, "id", recipe.seed).select(
         F.col("id").alias("id_cliente"), F.posexplode(score_walk(months)).alias("m", "score")
     )
-    df = with_state(walks.withColumn("id", F.col("id_cliente") * 1024 + F.col("m")), "id", recipe.seed)
+    df = with_state(walks.withColumn("id", F.col("id_cliente") * MONTH_KEYS + F.col("m")), "id", recipe.seed)
     ref = F.add_months(F.lit(recipe.as_of), F.col("m") - months)
     return df.select(
         "id_cliente",
@@ -484,6 +488,8 @@ def precos_historico(products: DataFrame, recipe: Recipe, months: int = MONTHS_O
 
     The months are a fixed short list expanded within each product's row. Prices are whole cents.
     """
+    if not 0 < months <= MONTH_KEYS:
+        raise ValueError(f"a history has 1 to {MONTH_KEYS} months")
     d = Draws("precos_historico")
     rows = products.select(
         "id_produto",
@@ -491,7 +497,7 @@ def precos_historico(products: DataFrame, recipe: Recipe, months: int = MONTHS_O
         F.round(F.col("preco_mensal") * 100).cast("bigint").alias("cents"),
         F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m"),
     )
-    df = with_state(rows.withColumn("id", F.col("id_produto") * 1024 + F.col("m")), "id", recipe.seed)
+    df = with_state(rows.withColumn("id", F.col("id_produto") * MONTH_KEYS + F.col("m")), "id", recipe.seed)
     drawn = F.floor((F.col("cents") * (d.randint("variacao", -500, 1000) + 10_000) + 5_000) / 10_000)
     priced = df.withColumn("price", F.greatest(drawn, F.lit(0)).cast("bigint"))
     return priced.select(

@@ -3,33 +3,69 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import CharType, StringType, StructType, VarcharType
 
 from lockgate.functions.exactsum import tick
 
-# Written and read with the same options, every string (also '' and NULL, quotes and line breaks)
-# and every microsecond comes back unchanged.
+# Written and read with the same options, every string (also '' and NULL, quotes and line breaks, a text that looks like the
+# mark of NULL) and every microsecond comes back unchanged. Line breaks and backslashes in texts are escaped, so a record is
+# one line and files can be split. ESCAPED says so; files of others, without escapes, are read with ESCAPED = "false".
+ESCAPED = "escaped"
 CSV_OPTIONS = {
     "header": "true",
     "delimiter": ";",
     "nullValue": "\\N",
-    "multiLine": "true",
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-# A multi-line CSV file cannot be split on read, so the writer keeps files small instead.
-CSV_ROWS_PER_FILE = 1_000_000
 
 
 def format_options(fmt: str, options: dict[str, str] | None) -> dict[str, str]:
-    return {**(CSV_OPTIONS if fmt == "csv" else {}), **(options or {})}
+    given = {**(CSV_OPTIONS if fmt == "csv" else {}), **(options or {})}
+    escaped = is_escaped(fmt, options)
+    if fmt == "csv" and not escaped:
+        given = {"multiLine": "true", **given}
+    return {k: v for k, v in given.items() if k != ESCAPED}
+
+
+def is_escaped(fmt: str, options: dict[str, str] | None) -> bool:
+    return fmt == "csv" and (options or {}).get(ESCAPED, "true").lower() == "true"
+
+
+def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    kinds = (StringType, CharType, VarcharType)
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+    return df.select(*[change(F.col(tick(c))).alias(c) if c in names else F.col(tick(c)) for c in df.columns])
+
+
+def escaped(df: DataFrame) -> DataFrame:
+    """Backslashes doubled and line breaks as \\n and \\r, so no text breaks a line or looks like the mark of NULL."""
+
+    def change(c: Column) -> Column:
+        for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+            c = F.replace(c, F.lit(plain), F.lit(written))
+        return c
+
+    return _texts(df, change)
+
+
+def unescaped(df: DataFrame) -> DataFrame:
+    """What ``escaped`` was given. Between doubled backslashes a single one marks a line break."""
+
+    def change(c: Column) -> Column:
+        pieces = F.split(c, r"\\\\", -1)
+        read = F.transform(pieces, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+        return F.when(F.contains(c, F.lit("\\")), F.array_join(read, "\\")).otherwise(c)
+
+    return _texts(df, change)
 
 
 def read(
@@ -46,9 +82,8 @@ def read(
     if fmt is None:
         return spark.table(ref)
     reader = spark.read.format(fmt).options(**format_options(fmt, options))
-    if schema is None:
-        return reader.load(ref)
-    return reader.schema(schema).load(ref).select(*schema.fieldNames())
+    found = reader.load(ref) if schema is None else reader.schema(schema).load(ref).select(*[tick(c) for c in schema.fieldNames()])
+    return unescaped(found) if is_escaped(fmt, options) else found
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -70,8 +105,8 @@ def write(
     max_records_per_file: int | None = None,
 ) -> None:
     """Write files. Without partition columns there is no shuffle."""
-    if max_records_per_file is None and fmt == "csv":
-        max_records_per_file = CSV_ROWS_PER_FILE
+    if is_escaped(fmt, options):
+        df = escaped(df)
     writer = df.write.format(fmt).mode(mode).options(**format_options(fmt, options))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -139,7 +174,8 @@ def declare_external(
         raise ValueError(f"{name} is there already, at {there}")
     if partition_by:
         spark.catalog.recoverPartitions(name)
-    return spark.table(name).select(*schema.fieldNames())
+    found = spark.table(name).select(*[tick(c) for c in schema.fieldNames()])
+    return unescaped(found) if is_escaped(fmt, options) else found
 
 
 def append_evolving(df: DataFrame, path: str) -> None:

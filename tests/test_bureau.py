@@ -97,6 +97,16 @@ def test_draws_are_uniform_and_independent(spark):
     assert len({r.a for r in far.collect()}) == 3
 
 
+def test_states_never_repeat(spark):
+    """Five million keys, dense and sparse, and clients times months: no two share a state."""
+    dense = spark.range(4_000_000).select(F.col("id"))
+    monthly = spark.range(20_000).selectExpr("explode(sequence(0, 49)) AS m", "id + 3000000000 AS c").selectExpr(f"c * {B.MONTH_KEYS} + m AS id")
+    states = with_state(dense.unionByName(monthly), "id").select("_state", "_state_2")
+    assert states.distinct().count() == 5_000_000
+    with pytest.raises(ValueError):
+        B.score_historico(B.keys(spark, 1), RECIPE, B.MONTH_KEYS + 1)
+
+
 def check_digits(text, weights):
     digits = [int(c) for c in text if c.isdigit()]
     return digits, [sum(a * b for a, b in zip(digits, w)) for w in weights]

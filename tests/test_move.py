@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lockgate import constants as K
 from lockgate.operators import move, profile, reconcile, reports
@@ -39,6 +40,33 @@ def test_csv_is_lossless(spark):
     assert sorted(map(tuple, tables.read(spark, path, "csv", df.schema).collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_csv_escapes_come_back_and_files_split(spark):
+    odd = ["\\N", "\\\\N", "a\nb", "\r\n", "\\n", "\\\\n\\", "x\\\ny", "\\r\r", '"\n";"', "\u2028", "", None, "\\"]
+    df = spark.createDataFrame([(i, s, "p\\q\nr") for i, s in enumerate(odd)], "id bigint, s string, `odd name` string")
+    path = scratch.new_folder(spark, "csv")
+    move.copy(df, path, "csv")
+    assert sorted(map(tuple, tables.read(spark, path, "csv", df.schema).collect())) == sorted(map(tuple, df.collect()))
+    big = spark.range(200_000).selectExpr("id", "concat('line', chr(10), id) AS s").coalesce(1)
+    path = scratch.new_folder(spark, "csv")
+    move.copy(big, path, "csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        back = tables.read(spark, path, "csv", big.schema)
+        assert len(back.inputFiles()) == 1 and back.rdd.getNumPartitions() > 4
+        assert reconcile.multiset_diff(big, back).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_of_others_is_read_as_it_is(spark):
+    path = scratch.new_folder(spark, "csv")
+    foreign = {tables.ESCAPED: "false"}
+    df = spark.createDataFrame([("a\\nb", 1), ("c\nd", 2)], "s string, n int")
+    tables.write(df, path, "csv", options=foreign)
+    assert sorted(map(tuple, tables.read(spark, path, "csv", df.schema, foreign).collect())) == [("a\\nb", 1), ("c\nd", 2)]
+
+
 def test_write_spreads_a_hot_partition_value(spark):
     """REBALANCE leaves the number of tasks to the adaptive planner; nothing is tied to one value."""
     plan = tables.spread(spark.range(10).withColumn("p", F.lit(1)), ["p"])._jdf.queryExecution().optimizedPlan().toString()
@@ -69,7 +97,24 @@ def test_compact(spark, clients):
     clients.repartition(20).write.parquet(small)
     assert move.compact(spark, small, big).rows == 200
     assert tables.read(spark, big, "parquet").select(F.input_file_name()).distinct().count() == 1
-
+    assert clients.count() == tables.read(spark, big, "parquet").distinct().count()
+    size = tables.path_bytes(spark, small)
+    packed = move.packed(spark, small, "parquet", clients.schema, size // 4)
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert 4 <= packed.rdd.getNumPartitions() <= 7  # 20 files in packs of a quarter
+
+
+def test_json_faults_are_set_aside(spark):
+    raw, good, bad = (scratch.new_folder(spark, n) for n in ("raw", "good", "bad"))
+    lines = ['{"a":1,"b":"x"}', '{"a":2}', '{"a":"three","b":"y"}', '{"a":4,"b":"z","c":1}', '{"a":5', "", "[1]", "null", '{"b":null,"a":null}', "{}"]
+    spark.createDataFrame([(x,) for x in lines], "line string").write.text(raw)
+    done = move.convert_json(spark, raw, good, bad, T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())]))
+    rows = {tuple(r) for r in spark.read.parquet(good).collect()}
+    assert rows == {(1, "x"), (2, None), (None, None)} and (done.moved.rows, done.quarantined, done.lines) == (4, 6, 10)
+    aside = {(r.reason, r.line) for r in spark.read.parquet(bad).collect()}
+    assert aside == {("UNKNOWN_FIELD", lines[3]), *(("MALFORMED", lines[i]) for i in (2, 4, 5, 6, 7))}
+    inferred = move.convert_json(spark, raw, scratch.new_folder(spark, "good"), scratch.new_folder(spark, "bad"), sampling=1.0)
+    assert inferred.lines == 10 and inferred.moved.rows + inferred.quarantined == 10
 
 def test_append_evolving(spark):
     path = scratch.new_folder(spark, "log")

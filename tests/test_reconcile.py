@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from lockgate.operators import profile, reports
 from lockgate.operators import reconcile as R
+from lockgate.sources import scratch
 
 
 def status(spark, s, t, tolerance=0.0):
@@ -299,3 +300,30 @@ def test_lost_and_extra_columns_are_findings(spark):
     assert [r.id for r in R.row_diff(src, tgt, ["id"]).orderBy("id").collect()] == [1, 2, 3]
     assert R.multiset_diff(src, tgt).count() == 6
     assert {r.status for r in R.fingerprint_diff(src, tgt, 1).collect()} == {"DIFFERENT"}
+
+
+@pytest.mark.parametrize("kind", ["fast", "portable"])
+@pytest.mark.parametrize("k", [1, 50, 999, 5000])
+def test_a_sample_of_exact_size(spark, kind, k):
+    src = spark.range(1000).selectExpr("id % 900 AS k", "id AS v")
+    bad = src.withColumn("v", F.col("v") + 1).unionByName(spark.range(1000, 1100).selectExpr("id AS k", "id AS v"))
+    found = {r.k: r.finding for r in R.sample_k(src.repartition(5), bad, ["k"], k, kind).collect()}
+    again = {r.k: r.finding for r in R.sample_k(src, bad.repartition(3), ["k"], k, kind).collect()}
+    assert found == again
+    assert sum(f == "CHANGED" for f in found.values()) == min(k, 900) and all((f == "ONLY_TARGET") == (key >= 900) for key, f in found.items())
+
+
+def test_a_sample_of_an_empty_side(spark):
+    some, none = spark.range(10).withColumn("v", F.lit(1)), spark.range(0).withColumn("v", F.lit(1))
+    assert R.sample_k(some, some, ["id"], 3).count() == 0 and R.sample_k(none, none, ["id"], 3).count() == 0
+    assert {r.finding for r in R.sample_k(none, some, ["id"], 3).collect()} == {"ONLY_TARGET"}
+    assert R.sample_k(some, none, ["id"], 3).count() == 3
+
+
+def test_counts_of_a_damaged_file_cost_one_pair(spark):
+    path = scratch.new_folder(spark, "damaged")
+    spark.range(5).selectExpr("CAST(id AS STRING) AS s").write.text(path)
+    good = spark.range(4)
+    pairs = [R.Pair("ok", good, good), R.Pair("bad", good, lambda: spark.read.schema("s string").parquet(path))]
+    rows = {r.table_name: (r.n_src, r.n_tgt, r.status) for r in R.counts(spark, pairs, isolate=True).collect()}
+    assert rows == {"ok": (4, 4, "OK"), "bad": (4, -1, "ERROR")}

@@ -10,12 +10,14 @@ from lockgate.functions.draws import PRIME, STATE, stream
 
 
 def with_state(inner: str, key: str = "id", seed: int = 42) -> str:
-    k = f"CAST({key} AS BIGINT)"
-    first = f"((({k} & {PRIME}) + ({k} >> 31) * {D.HIGH_FACTOR} + {seed}) % {PRIME} * {D.MIX_1} + {D.ADD_1}) % {PRIME}"
-    steps = f"SELECT *, {first} AS x1 FROM ({inner})"
-    steps = f"SELECT *, (x1 * x1 + {D.SQUARE_1}) % {PRIME} AS x2 FROM ({steps})"
-    steps = f"SELECT *, (x2 * {D.MIX_2} + {D.ADD_2}) % {PRIME} AS x3 FROM ({steps})"
-    return f"SELECT * EXCLUDE (x1, x2, x3), (x3 * x3 + {D.SQUARE_2}) % {PRIME} AS {STATE} FROM ({steps})"
+    """Two lanes, each twice a linear step and a fifth power modulo its prime."""
+    last = f"SELECT *, (CAST({key} AS BIGINT) + {seed}) % {PRIME} AS x, (CAST({key} AS BIGINT) + {seed}) % {D.PRIME_2} AS z FROM ({inner})"
+    for factor, offset in ((D.MIX_1, D.ADD_1), (D.MIX_2, D.ADD_2)):
+        for lane, prime in (("x", PRIME), ("z", D.PRIME_2)):
+            last = f"SELECT * REPLACE (({lane} * {factor} + {offset}) % {prime} AS {lane}) FROM ({last})"
+            fifth = f"({lane} * {lane} % {prime}) * ({lane} * {lane} % {prime}) % {prime} * {lane} % {prime}"
+            last = f"SELECT * REPLACE ({fifth} AS {lane}) FROM ({last})"
+    return f"SELECT * EXCLUDE (x, z), x AS {STATE}, z AS {D.STATE_2} FROM ({last})"
 
 
 def text(word: str | None) -> str:
@@ -32,8 +34,9 @@ class DuckDraws:
 
     def raw(self, column: str, step: str | None = None) -> str:
         offset = stream(self.table, column)
-        y = f"({STATE} + {offset}" + (f" + {step} * {D.STEP_FACTOR}" if step else "") + f") % {PRIME}"
-        return f"(({y}) * ({y}) % {PRIME} * {D.COLUMN_FACTOR} + {offset}) % {PRIME}"
+        moved = f"{offset}" + (f" + {step} * {D.STEP_FACTOR}" if step else "")
+        y, z = f"(({STATE} + {moved}) % {PRIME})", f"(({D.STATE_2} + {moved}) % {D.PRIME_2})"
+        return f"({y} * {y} % {PRIME} * {D.COLUMN_FACTOR} + {z} * {z} % {D.PRIME_2}) % {PRIME}"
 
     def below(self, column: str, n: int, step: str | None = None) -> str:
         if n <= PRIME // 16:

@@ -87,8 +87,8 @@ def given_sources(t: Tables) -> list[profile.TableSource]:
     ]
 
 
-COLUMN_TABLES = ["orders", "customer", "lineitem"]
-TYPE_NAMES = "CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"
+COLUMN_TABLES = TABLE_NAMES
+TYPE_NAMES = "CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END"
 
 
 @query(

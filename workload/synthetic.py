@@ -9,6 +9,7 @@ from lockgate.functions import documents
 from lockgate.plans import analytics
 from lockgate.plans import bureau as B
 from lockgate.plans.bureau import YEAR, Recipe
+from lockgate.sources import scratch
 from workload.common import AS_OF, Tables, plain, plain_sql
 from workload.duckdraws import DuckDraws, cnpj, cpf, period, text, with_state
 
@@ -77,9 +78,9 @@ def q_cnpj(t: Tables) -> DataFrame:
 
 S = DuckDraws("score_historico")
 WALK = f"""WITH RECURSIVE walk AS (
-  SELECT id, _state, 0 AS m, {S.randint('start', 200, 900)} AS score FROM ({with_state(PERSONS)})
+  SELECT id, _state, _state_2, 0 AS m, {S.randint('start', 200, 900)} AS score FROM ({with_state(PERSONS)})
   UNION ALL
-  SELECT id, _state, m + 1, least(greatest(score + {S.randint('walk', -40, 40, '(m + 1)')}, 0), 1000) FROM walk WHERE m < {B.MONTHS_OF_HISTORY}
+  SELECT id, _state, _state_2, m + 1, least(greatest(score + {S.randint('walk', -40, 40, '(m + 1)')}, 0), 1000) FROM walk WHERE m < {B.MONTHS_OF_HISTORY}
 ) SELECT id AS id_cliente, m - 1 AS m, score FROM walk WHERE m > 0"""
 
 
@@ -238,7 +239,7 @@ def q_synth_contatos(t: Tables) -> DataFrame:
 
 REF = f"CAST({TODAY} - to_months(CAST({B.MONTHS_OF_HISTORY} - m AS INTEGER)) AS DATE)"
 SCORES = table(
-    f"SELECT *, id_cliente * 1024 + m AS id FROM ({WALK})",
+    f"SELECT *, id_cliente * {B.MONTH_KEYS} + m AS id FROM ({WALK})",
     {
         "id_cliente": "id_cliente",
         "ano_mes": period(REF),
@@ -525,7 +526,7 @@ PRICE = f"greatest((cents * ({V.randint('variacao', -500, 1000)} + 10000) + 5000
 @register(
     "q_price_history",
     table(
-        f"SELECT *, id_produto * 1024 + m AS id FROM ({PRICE_KEYS})",
+        f"SELECT *, id_produto * {B.MONTH_KEYS} + m AS id FROM ({PRICE_KEYS})",
         {
             "id_produto": "id_produto",
             "codigo_produto": "codigo",
@@ -562,21 +563,23 @@ def q_vw_clientes_ativos(t: Tables) -> DataFrame:
     "q_vw_score_atual",
     f"""SELECT s.id_cliente, s.score, s.faixa_score, s.num_consultas_mes, s.num_dividas_ativas, s.valor_dividas, s.flag_negativado, s.dt_calculo,
 l.limite_aprovado, l.limite_disponivel, l.taxa_juros_mensal
-FROM ({SCORES}) s JOIN (SELECT id_cliente, max(ano_mes) AS ultimo FROM ({SCORES}) GROUP BY 1) u ON s.id_cliente = u.id_cliente AND s.ano_mes = u.ultimo
-LEFT JOIN ({LIMITS}) l ON s.id_cliente = l.id_cliente AND l.status = 'ATIVO'""",
+FROM (SELECT *, rank() OVER (PARTITION BY id_cliente ORDER BY ano_mes DESC) AS newest FROM ({SCORES})) s
+LEFT JOIN (SELECT * FROM ({LIMITS}) WHERE status = 'ATIVO') l USING (id_cliente) WHERE newest = 1""",
     "dt_calculo",
 )
 def q_vw_score_atual(t: Tables) -> DataFrame:
-    return analytics.current_score(B.score_historico(persons(t), RECIPE), B.limites_credito(persons(t), RECIPE))
+    # The history is read twice, so it is stored once, as it would be in a bureau.
+    history = scratch.materialize(B.score_historico(persons(t), RECIPE), "scores")
+    return analytics.current_score(history, B.limites_credito(persons(t), RECIPE))
 
 
 @register(
     "q_vw_inadimplentes_ativos",
-    f"""SELECT o.id_cliente, count(o.id_ocorrencia) AS qtd_ocorrencias, sum(CAST(o.valor_atualizado AS DECIMAL(18,2))) AS total_divida,
-max(o.dias_atraso) AS max_dias_atraso, min(o.dt_ocorrencia) AS primeira_ocorrencia, max(o.dt_ocorrencia) AS ultima_ocorrencia,
-count(DISTINCT o.credor) AS qtd_credores, coalesce(p.n, 0) AS qtd_protestos, coalesce(p.v, 0) AS total_protestado
-FROM ({DEFAULTS}) o LEFT JOIN (SELECT id_cliente, count(*) AS n, sum(CAST(valor_protestado AS DECIMAL(18,2))) AS v FROM ({PROTESTS}) WHERE status = 'ATIVO' GROUP BY 1) p
-ON o.id_cliente = p.id_cliente WHERE o.status = 'ATIVA' GROUP BY o.id_cliente, p.n, p.v""",
+    f"""WITH debts AS (SELECT id_cliente, count(id_ocorrencia) AS qtd_ocorrencias, count(DISTINCT credor) AS qtd_credores, max(dias_atraso) AS max_dias_atraso,
+  sum(CAST(valor_atualizado AS DECIMAL(18,2))) AS total_divida, min(dt_ocorrencia) AS primeira_ocorrencia, max(dt_ocorrencia) AS ultima_ocorrencia
+  FROM ({DEFAULTS}) WHERE status = 'ATIVA' GROUP BY 1),
+notes AS (SELECT id_cliente, count(*) AS n, sum(CAST(valor_protestado AS DECIMAL(18,2))) AS v FROM ({PROTESTS}) WHERE status = 'ATIVO' GROUP BY 1)
+SELECT debts.*, coalesce(n, 0) AS qtd_protestos, coalesce(v, 0) AS total_protestado FROM debts LEFT JOIN notes USING (id_cliente)""",
     "total_divida",
     "total_protestado",
     "primeira_ocorrencia",
