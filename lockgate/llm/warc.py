@@ -29,6 +29,7 @@ from lockgate.sources import scratch
 
 FRAME = 1 << 20
 BUNDLE = 1 << 28
+READ_BYTES = 16 << 20  # of records that one task reads
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed values of the seekable format: magic number of the skippable frame, of the seek table's footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -218,8 +219,10 @@ def read(spark_index: DataFrame, folder: str, with_payload: bool = True) -> Data
                 kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], [f.split()[0] for f in READ.split(", ")])
 
-    # a frame is read by one task, and in order; frames of one bundle may go to many tasks
-    rows = spark_index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "place")
+    # A frame is read by one task, and in order; frames of one bundle may go to many tasks. The index says little of the
+    # bytes behind it, so the number of tasks comes from the lengths of the records.
+    held = spark_index.agg(F.sum("length")).first()[0] or 0
+    rows = spark_index.repartition(1 + held // READ_BYTES, "bundle", "frame").sortWithinPartitions("bundle", "frame", "place")
     return rows.mapInArrow(step, READ)
 
 
