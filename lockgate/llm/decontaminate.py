@@ -14,7 +14,7 @@ Equal item ids are one item in the list, each with its own words. Other columns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lockgate.llm import common
@@ -56,46 +56,58 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return common.stored(placed.join(terms, F.col("word") == F.col("term")).select("term", "th", "pos"), "postings")
 
 
-def rare_places(items: DataFrame, counts: DataFrame, lists: int = LISTS) -> DataFrame:
-    """item, the start of each of its windows, and the places of the window's rarest terms in the item."""
-    placed = items.select("item", "item_words", "width", F.posexplode("item_words").alias("place", "term")).join(counts, "term")
-    ranked = placed.groupBy("item").agg(F.collect_list(F.struct("place", "times")).alias("ranks"), F.first("width").alias("width"))
-    # Each item has few words; for one window: its places by frequency.
-    window = f"slice(array_sort(transform(filter(ranks, r -> r.place >= s AND r.place < s + width), r -> struct(r.times AS times, r.place AS place))), 1, {lists}).place"
-    return ranked.withColumn("s", F.explode(F.expr("sequence(0, size(ranks) - width)"))).select("item", F.col("s").alias("start"), F.expr(window).alias("places"))
+def rare_places(items: DataFrame, counts: DataFrame, lists: int = LISTS, window: int = WINDOW) -> DataFrame:
+    """item, width, the start and the words of each of its windows, and the places of the window's rarest terms.
 
+    A row frame of ``window`` words runs over each item, so an item of any length takes linear time.
+    """
+    words_of = items.select("item", "width", F.size("item_words").alias("size"), F.posexplode("item_words").alias("place", "term"))
+    ahead = Window.partitionBy("item").orderBy("place").rowsBetween(0, window - 1)
+    framed = words_of.join(counts, "term").select(
+        "item", "width", "size", F.col("place").alias("start"),
+        F.collect_list(F.struct("times", "place")).over(ahead).alias("ranks"), F.collect_list("term").over(ahead).alias("phrase"),
+    )
+    rarest = F.slice(F.array_sort("ranks"), 1, lists)["place"]
+    return framed.filter("start <= size - width").select("item", "width", "start", "phrase", rarest.alias("places"))
+
+
+def occurrences(docs: DataFrame, items: DataFrame, lists: int = LISTS, window: int = WINDOW) -> DataFrame:
+    """Exact occurrences of item windows: th, item_id, the first word in the text and the number of words.
 
-def occurrences(docs: DataFrame, items: DataFrame, lists: int = LISTS) -> DataFrame:
-    """Exact occurrences of item windows: th, item_id, the first word in the text and the number of words."""
+    A window is likely where all its rarest terms stand on one diagonal of a text. The places of a text are gathered and
+    its words cut around them, so a text is carried once, however many places it has.
+    """
     placed = items.select("item", F.posexplode("item_words").alias("place", "term"))
     counts = common.stored(frequencies(docs, common.stored(placed.select("term").distinct(), "terms")), "frequencies")
-    rare = common.stored(rare_places(items, counts, lists), "windows")
+    rare = common.stored(rare_places(items, counts, lists, window), "windows")
     wanted = rare.select("item", F.explode("places").alias("place")).distinct().join(placed, ["item", "place"])
     wanted = common.stored(wanted, "rare")
     index = build_index(docs, common.stored(wanted.select("term").distinct(), "terms"))
 
     on_diagonal = index.join(wanted, "term").select("th", "item", (F.col("pos") - F.col("place")).alias("diagonal"), "place")
-    met = on_diagonal.groupBy("th", "item", "diagonal").agg(F.collect_set("place").alias("met"))
-    needs = rare.groupBy("item").agg(F.collect_set("places").alias("needs"))
-    likely = met.join(needs, "item").filter("exists(needs, n -> forall(n, p -> array_contains(met, p)))").select("th", "item", "diagonal")
+    asked = rare.select("item", "start", "width", F.size("places").alias("needed"), F.explode("places").alias("place"))
+    # Most diagonals hold fewer terms than any window of the item needs; only the others are held against the windows.
+    fewest = rare.groupBy("item").agg(F.min(F.size("places")).alias("fewest"))
+    many = on_diagonal.groupBy("th", "item", "diagonal").agg(F.collect_set("place").alias("places")).join(fewest, "item").filter("size(places) >= fewest")
+    placed = many.select("th", "item", "diagonal", F.explode("places").alias("place"))
+    met = placed.join(asked, ["item", "place"]).groupBy("th", "item", "diagonal", "start", "width", "needed").agg(F.count("*").alias("met"))
+    likely = met.filter("met = needed AND diagonal + start >= 0").select("th", "item", "start", "width", (F.col("diagonal") + F.col("start")).alias("first_word"))
     likely = common.stored(likely, "likely")
 
+    spots = likely.groupBy("th").agg(F.collect_list(F.struct("item", "start", "width", "first_word")).alias("spots"))
     texts = common.among(docs.filter("text IS NOT NULL"), likely).groupBy("th").agg(F.first("text").alias("text"))
-    texts = texts.select("th", words().alias("doc_words"))
-    lined_up = likely.join(texts, "th").join(items, "item")
-    same = (
-        "transform(item_words, (w, j) -> CASE WHEN j + diagonal >= 0 AND j + diagonal < size(doc_words) "
-        "AND doc_words[greatest(0, least(size(doc_words) - 1, j + diagonal))] = w THEN 1 ELSE 0 END)"
-    )
-    starts = "filter(sequence(0, size(item_words) - width), s -> NOT array_contains(slice(same, s + 1, width), 0))"
-    found = lined_up.withColumn("same", F.expr(same)).withColumn("start", F.explode(F.expr(starts)))
-    return common.stored(found.select("th", "item_id", (F.col("diagonal") + F.col("start")).alias("first_word"), F.col("width").alias("n")), "occurrences")
+    read = spots.join(texts.select("th", words().alias("doc_words")), "th")
+    cut = "transform(spots, x -> struct(x.item, x.start, x.first_word, x.width, slice(doc_words, int(x.first_word) + 1, x.width) AS found))"
+    found = read.select("th", F.explode(F.expr(cut)).alias("x")).select("th", "x.*")
+    same = found.join(rare.select("item", "start", "phrase"), ["item", "start"]).filter("found = phrase")
+    named = same.join(items.select("item", "item_id"), "item")
+    return common.stored(named.select("th", "item_id", "first_word", F.col("width").alias("n")), "occurrences")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, lists: int = LISTS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and item_ids for each row of ``docs``."""
     docs = documents(docs)
-    found = occurrences(docs, test_items(items, window=window), lists)
+    found = occurrences(docs, test_items(items, window=window), lists, window)
     hit = found.select("th", F.explode(F.expr("sequence(first_word, first_word + n - 1)")).alias("pos")).distinct()
     hit = hit.groupBy("th").agg(F.count("*").alias("hits"))
     listed = found.groupBy("th").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
