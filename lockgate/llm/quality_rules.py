@@ -31,6 +31,7 @@ P = len(NAMES)
 #: Standard deviations added to each transformed statistic.
 FLOORS = [0.03, 0.05, 0.05, 0.10]
 MIN_ROWS = 50
+SALTS = 16
 #: The pool of what is small in its language too.
 LAST = "{}"
 KEEP = 0.75
@@ -152,8 +153,20 @@ _MODEL = "g string, mean array<double>, inverse array<double>, log_det double, a
 _D2 = " + ".join(f"(f{i} - mean[{i}]) * (f{j} - mean[{j}]) * inverse[{i * P + j}]" for i in range(P) for j in range(P))
 
 
+def salted(rows: DataFrame) -> DataFrame:
+    """Rows dealt to ``SALTS`` parts of their group, so that the join of a group that holds most rows is no single task."""
+    return rows.withColumn("salt", F.monotonically_increasing_id() % SALTS)
+
+
+def _of_group(rows: DataFrame, values: DataFrame, how: str = "left") -> DataFrame:
+    """Salted ``rows`` with the one row that ``values`` has for their group, which is repeated for every part."""
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    spread = values.withColumnRenamed("g", "mg").withColumn("msalt", parts)
+    return rows.join(spread, F.expr("g = mg AND salt = msalt"), how).drop("mg", "msalt")
+
+
 def _with_distance(rows: DataFrame, model: DataFrame) -> DataFrame:
-    return rows.join(model.withColumnRenamed("g", "mg"), F.expr("g = mg"), "left").withColumn("d2", F.expr(_D2)).drop("mg")
+    return _of_group(rows, model).withColumn("d2", F.expr(_D2))
 
 
 def _model(chosen: DataFrame, factor: float) -> DataFrame:
@@ -171,6 +184,7 @@ def _model(chosen: DataFrame, factor: float) -> DataFrame:
 
 def fit(rows: DataFrame) -> DataFrame:
     """Reweighted estimates for each group ``g`` of ``rows`` (g, f0, f1, ...)."""
+    rows = salted(rows)
     quartiles = rows.groupBy("g").agg(
         F.count("*").alias("all_n"), *[F.percentile_approx(f"f{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)]
     )
@@ -185,8 +199,8 @@ def fit(rows: DataFrame) -> DataFrame:
     model = common.stored(start, "mcd")
     for _ in range(MAX_STEPS):
         near = _with_distance(rows, model)
-        bound = near.groupBy("g").agg(F.percentile_approx("d2", KEEP, 1000).alias("bound")).withColumnRenamed("g", "bg")
-        chosen = near.join(bound, F.expr("g = bg")).withColumn("inside", F.expr("d2 <= bound"))
+        bound = near.groupBy("g").agg(F.percentile_approx("d2", KEEP, 1000).alias("bound"))
+        chosen = _of_group(near, bound, "inner").withColumn("inside", F.expr("d2 <= bound"))
         better = _model(chosen, consistency(KEEP))
         moved = better.alias("a").join(model.alias("b"), "g").agg(F.max(F.abs(F.col("a.log_det") - F.col("b.log_det")))).first()[0]
         model = better
@@ -205,7 +219,7 @@ def judge(docs: DataFrame) -> DataFrame:
     if 0 < vectors.filter(f"g = '{LAST}'").count() < MIN_ROWS:
         vectors = vectors.union(vectors.filter(f"g != '{LAST}'").withColumn("g", F.lit(LAST)))
     model = fit(vectors)
-    judged = _with_distance(passed, model.drop("log_det")).withColumn("kept", F.expr(f"all_n < {MIN_ROWS} OR d2 <= {CUT}"))
+    judged = _with_distance(salted(passed), model.drop("log_det")).withColumn("kept", F.expr(f"all_n < {MIN_ROWS} OR d2 <= {CUT}"))
     columns = ["doc_id", "rid", *COUNTS, "base_failed"]
     failed = rows.filter("base_failed").select(*columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance"))
     return judged.select(*columns, F.coalesce("kept", F.lit(True)).alias("kept"), F.sqrt("d2").alias("distance")).unionByName(failed)
