@@ -9,7 +9,9 @@ document is the mean label of its ``NEIGHBOURS`` nearest ones weighted by their
 The whole text of every document is used; ids, language and source are not inputs. A text without any known feature, and every
 text if there are no labels, gets the share of label 1 in the sample (one half without labels). Null texts are empty
 texts. Labels that are null or contradict each other are not learned. Repeated rows score alike; ties between
-neighbours go to the earlier labelled row. Other columns are not read.
+neighbours go to the earlier labelled row. A labelled row that was learned is its own nearest neighbour and votes for
+itself. Cosines are rounded to nine decimals, so a score depends on its text alone, not on how rows are dealt to tasks.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -58,16 +60,24 @@ class Space:
         found = np.empty(len(texts))
         for at in range(0, len(texts), BLOCK):
             block = self.project(texts[at : at + BLOCK])
-            cosines = block @ self.vectors.T
-            k = min(NEIGHBOURS, cosines.shape[1])
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosines, near, 1), 0).astype(float)
+            cosines = np.round(block.astype(float) @ self.vectors.T.astype(float), 9)
+            near = nearest(cosines, min(NEIGHBOURS, cosines.shape[1]))
+            weight = np.maximum(np.take_along_axis(cosines, near, 1), 0)
             total = weight.sum(1)
             votes = (weight * self.labels[near]).sum(1)
             found[at : at + len(block)] = np.where(total > 0, votes / np.where(total > 0, total, 1), self.usual)
         return found
 
 
+def nearest(cosines: np.ndarray, k: int) -> np.ndarray:
+    """The columns of the k largest values of each row, ascending; among equal values the first columns."""
+    last = -np.partition(-cosines, k - 1, axis=1)[:, k - 1 : k]
+    above, equal = cosines > last, cosines == last
+    wanted = k - above.sum(1, keepdims=True)
+    taken = above | (equal & (np.cumsum(equal, axis=1) <= wanted))
+    return np.nonzero(taken)[1].reshape(-1, k)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     size = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.where(size > 0, size, 1)
