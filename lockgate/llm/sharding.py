@@ -14,6 +14,8 @@ in id and text are told apart by the tie number. An empty table gives no rows. O
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +25,6 @@ from lockgate.llm import common
 OVERHEAD = 8
 RANGES = 64
 DRAWS = 32
-MAX_CUTS = 6
 _LOW = -(1 << 63)
 
 
@@ -95,11 +96,11 @@ def splitters(rows: DataFrame, shards: int) -> tuple[np.ndarray, dict[int, tuple
         return np.empty((0, 3), np.int64), {}
     wanted = shards * RANGES
     cuts = _snap(set(_quantiles(_draw(rows, wanted * DRAWS, total, 1), wanted)))
-    for turn in range(MAX_CUTS):
+    for turn in count():
         placed = with_range(rows, cuts)
         sums = {r: (b, n) for r, b, n in placed.groupBy("range").agg(F.sum("size"), F.count("*")).collect()}
         full = {r: b for r, (b, n) in sums.items() if n > 1 and b > 2 * total / wanted}
-        if not full or turn == MAX_CUTS - 1:
+        if not full:
             break
         inside = placed.filter(F.col("range").isin(list(full)))
         sample = _draw(inside, max(DRAWS, int(wanted * DRAWS * sum(full.values()) / total)), sum(full.values()), turn + 2)
@@ -109,7 +110,7 @@ def splitters(rows: DataFrame, shards: int) -> tuple[np.ndarray, dict[int, tuple
             more |= set(_quantiles(sample[where == r], int(np.ceil(size * wanted / total))))
         finer = _snap(more)
         if len(finer) == len(cuts):
-            break
+            break  # what is left cannot be cut: single records, or records equal in every key
         cuts = finer
     return cuts, sums
 
@@ -152,7 +153,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = 24) -> None:
     """All columns of ``docs`` as Parquet in folders ``shard=0`` and so on, range by range in key order."""
     cuts, sums = splitters(keyed(docs), shards)
     text = F.coalesce(F.col("text"), F.lit(""))
-    placed = docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64("doc_id"), "k3": F.lit(0).cast("long")})
+    placed = docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64("doc_id"), "k3": F.xxhash64(F.monotonically_increasing_id())})
     dealt = docs.sparkSession.createDataFrame([(r, s) for r, s, _ in deal(sums, shards)], "range int, shard int")
     placed = with_range(placed, cuts).join(F.broadcast(dealt), "range")
     placed.repartition("range").sortWithinPartitions("shard", "range", "k1", "k2").drop("range", "k1", "k2", "k3").write.partitionBy("shard").parquet(path)
