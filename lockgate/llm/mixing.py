@@ -134,6 +134,21 @@ def fit(rows: DataFrame, names: list[str], targets: np.ndarray, max_rate: float,
     return gradients
 
 
+def reached(rated: DataFrame, names: list[str], targets: dict[str, float]) -> DataFrame:
+    """(domain, target, expected_share, drawn_share): the shares of tokens that the rates and the drawn copies give each domain.
+
+    The rounds of ``fit`` end when the error is small or falls no more; targets that no rates can meet show here.
+    """
+    parts = [
+        F.struct(F.lit(n).alias("domain"), F.lit(float(targets[n])).alias("target"), *[
+            F.try_divide(F.sum(F.col("n_tokens") * F.col(by) * F.col(f"p_{n}")), F.sum(F.col("n_tokens") * F.col(by))).alias(f"{word}_share")
+            for by, word in (("rate", "expected"), ("n_copies", "drawn"))
+        ])
+        for n in names
+    ]
+    return rated.agg(F.array(*parts).alias("all")).select(F.inline("all"))
+
+
 def mix(
     docs: DataFrame,
     labels: DataFrame,
