@@ -58,6 +58,12 @@ def give_back() -> None:
         trim(0)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Between long steps: the driver drops the plans of what is done, and both its halves give memory back."""
+    give_back()
+    spark._jvm.System.gc()
+
+
 def slices(rows: Batches) -> Batches:
     """The same rows in batches of at most ``SLICE``, so that what a worker holds besides its Arrow batch stays small."""
     for batch in rows:
@@ -153,12 +159,17 @@ def _sum_chunks(rows: Batches) -> Batches:
     )
 
 
-def summed(rows: DataFrame, counters: int) -> np.ndarray:
-    """The sum of all tasks' tables of counts (chunk, counts): a fixed size, whatever the corpus holds."""
+def totals(rows: DataFrame) -> DataFrame:
+    """The sums (chunk, counts) of all tasks' tables of counts, four bytes a count: a fixed size, whatever the corpus holds."""
     schema = "chunk int, counts binary"
     rows = mapped(rows.repartition("chunk", F.floor(F.rand(7) * 4)), _sum_chunks, schema)
+    return mapped(rows.repartition("chunk"), _sum_chunks, schema)
+
+
+def summed(rows: DataFrame, counters: int) -> np.ndarray:
+    """``totals`` as one array on the driver."""
     total = np.zeros((counters // CHUNK, CHUNK), np.int64)
-    for chunk, counts in mapped(rows.repartition("chunk"), _sum_chunks, schema).collect():
+    for chunk, counts in totals(rows).collect():
         total[chunk] += np.frombuffer(counts, np.uint32)
     return total.reshape(-1)
 

@@ -42,6 +42,8 @@ LONG = 700
 CELLS = 2048
 LARGEST_LIGHT = 14
 SALT_ROWS = 50_000
+MOST_SALTS = (1 << 16) - 1
+RANKED = "chunk int, rank binary, salts binary, total long, squares double"
 RECENT = 20_000
 
 
@@ -100,6 +102,49 @@ def _profile(rows: common.Batches) -> common.Batches:
     yield pa.RecordBatch.from_arrays([pa.nulls(table.num_rows, pa.int64())] * (5 + WORDS) + [pa.nulls(table.num_rows, pa.binary()), *table.columns], names)
 
 
+def _histogram(rows: common.Batches) -> common.Batches:
+    """How many counters of a chunk hold each count."""
+    for batch in rows:
+        for counts in batch.column(1).to_pylist():
+            value, n = np.unique(np.frombuffer(counts, np.uint32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(n.astype(np.int64))], ["value", "n"])
+
+
+def _ranked(usual: float):
+    """Of each chunk of counts: the place of its shingles in the global order, and over how many tasks a list is dealt."""
+
+    def step(rows: common.Batches) -> common.Batches:
+        for batch in rows:
+            for chunk, binary in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = np.frombuffer(binary, np.uint32).astype(np.int64)
+                rank = np.floor(4 * np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
+                excess = np.maximum(0, counts - 2 * int(usual))
+                salts = np.minimum(1 + excess // SALT_ROWS, MOST_SALTS).astype(np.uint16)
+                values = [[chunk], [rank.tobytes()], [salts.tobytes()], [int(counts.sum())], [float((excess.astype(float) ** 2).sum())]]
+                kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], [f.split()[0] for f in RANKED.split(", ")])
+
+    return step
+
+
+def order(counted: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Ranks and salts by counter, and the mean length of a list, from the tables of counts of all tasks.
+
+    The tables are summed and ranked chunk by chunk in tasks; the driver gets three bytes a counter, chunk by chunk.
+    """
+    totals = common.stored(common.totals(counted), "totals")
+    histogram = common.mapped(totals, _histogram, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    usual = max(1.0, float(histogram.agg(F.percentile("value", 0.5, F.col("n"))).first()[0] or 0))
+    ranked = common.stored(common.mapped(totals, _ranked(usual), RANKED), "ranked")
+    rank, salts = np.zeros(COUNTERS, np.uint8), np.ones(COUNTERS, np.uint16)
+    for row in ranked.select("chunk", "rank", "salts").toLocalIterator():
+        place = slice(row["chunk"] * common.CHUNK, (row["chunk"] + 1) * common.CHUNK)
+        rank[place] = np.frombuffer(row["rank"], np.uint8)
+        salts[place] = np.frombuffer(row["salts"], np.uint16)
+    total, squares = ranked.agg(F.sum("total"), F.sum("squares")).first()
+    return rank, salts, max(1.0, ((squares or 0) / max(1, total or 0)) ** 0.5)
+
+
 def _subset_plan(a: int, boundary: int) -> list[tuple[int, int, int]]:
     """For a light set: both sizes of the pairs it lists subsets for, and the size of the subsets. Equal sets are one class."""
     plan = [(min(a, b), max(a, b), least_overlap(a, b)) for b in partner_sizes(a) if b <= boundary]
@@ -126,7 +171,7 @@ def _entries(shared, boundary: int):
 
     def step(rows: common.Batches) -> common.Batches:
         ids, seen = common.WordIds(), set()
-        rank, excess = shared.value
+        rank, dealt = shared.value
         for batch in common.slices(rows):
             h, salt, key, n, small, low = [], [], [], [], [], []
 
@@ -158,7 +203,7 @@ def _entries(shared, boundary: int):
                     counter = _counter(found)
                     probe, index = prefix_lengths(size)
                     order = np.argsort(rank[counter], kind="stable")[:probe]  # within a rank by hash: the set is sorted
-                    salts = (name % (1 + excess[counter[order]].astype(np.int64) // SALT_ROWS)).astype(np.int32)
+                    salts = (name % dealt[counter[order]].astype(np.int64)).astype(np.int32)
                     add(found[order], salts, name, size, np.arange(len(order)) < index, 0)
             if h:
                 columns = [np.concatenate(c) for c in (h, salt, key, n, small, low)]
@@ -179,7 +224,7 @@ def _shared_only(shared):
     """
 
     def step(rows: common.Batches) -> common.Batches:
-        excess = shared.value[1]
+        dealt = shared.value[1]
         last, given = None, False
         for batch in rows:
             if not batch.num_rows:
@@ -189,7 +234,7 @@ def _shared_only(shared):
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
             table, h = table.filter(pa.array(new)), h[new]
-            keep = excess[_counter(h.view(np.uint64))] >= SALT_ROWS
+            keep = dealt[_counter(h.view(np.uint64))] > 1
             same = h[1:] == h[:-1]
             keep[1:] |= same
             keep[:-1] |= same
@@ -268,7 +313,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.row_key(docs).alias("rid"), F.col(text_col).alias("text"))
     profile = common.stored(common.mapped(docs.select("doc_id", "rid", F.xxhash64("text").alias("th"), "text"), _profile, PROFILE), "profile")
-    counts = common.summed(profile.filter("chunk IS NOT NULL").select("chunk", "counts"), COUNTERS)
+    rank, salts, mean_list = order(profile.filter("chunk IS NOT NULL").select("chunk", "counts"))
     rows = profile.filter("chunk IS NULL")
     classes = common.stored(
         rows.filter("n > 0").groupBy(F.col("sig").alias("key")).agg(F.min(_first_row()).alias("least"), F.min("th").alias("th"), F.min("n").alias("n"), *[F.min(b).alias(b) for b in _BITS]),
@@ -276,17 +321,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
     cells = rows.filter("cells IS NOT NULL").groupBy(F.col("sig").alias("key")).agg(F.first("n").alias("n"), F.first("cells").alias("cells"))
     cells = common.stored(cells, "cells")
-    usual = max(1.0, float(np.median(counts)))
-    rank = np.floor(4 * np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
-    excess = np.maximum(0, counts - 2 * int(usual))
-    shared = spark.sparkContext.broadcast((rank, excess.astype(np.uint32)))
-    mean_list = max(1.0, float((excess.astype(float) ** 2).sum() / max(1, counts.sum())) ** 0.5)
+    shared = spark.sparkContext.broadcast((rank, salts))
+    del rank, salts
     sizes = {int(n): int(c) for n, c in classes.filter(F.col("n") <= 2 * LARGEST_LIGHT).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, mean_list)
 
     entries = common.mapped(docs.select("text"), _entries(shared, boundary), LISTED)
     entries = entries.repartition(F.col("h"), F.col("salt")).sortWithinPartitions("h", "key")
     lists = common.stored(common.mapped(entries, _shared_only(shared), LISTED).drop("salt"), "lists")
+    shared.destroy()  # the lists are written; nothing that follows reads the table again
+    common.tidy(spark)
 
     subsets, scans = lists.filter("low > 0"), lists.filter("low = 0").drop("low")
     first = subsets.groupBy("h").agg(F.min(F.struct("n", "key")).alias("l"), F.min("low").alias("low")).filter("l.n = low")
