@@ -6,7 +6,9 @@
 4. mixing: rows stay by the rates that bring the domains to their target weights
 5. sharding: the rows that are left are dealt to shards
 
-Every stage but the last returns the columns of ``documents``. Between stages the rows are written as Parquet.
+Every stage but the last returns the columns of ``documents``. Between stages the rows are written as Parquet. Null and empty
+texts, repeated rows, empty tables and further columns pass the stages as their operators say: rows without words fail the
+quality rules, equal rows are one group of copies, an empty table stays empty, further columns stay with their rows.
 """
 
 from __future__ import annotations
@@ -20,15 +22,18 @@ TARGETS = {"clean": 0.99, "toxic": 0.01}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tidy(spark)
     judged = common.stored(quality_rules.judge(docs), "judged")
     return common.without(docs, judged.filter("NOT kept").select("rid"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tidy(spark)
     return jaccard_join.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tidy(spark)
     return decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
@@ -37,12 +42,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     The clean domain has the largest target and keeps all of its tokens.
     """
+    common.tidy(spark)
     labels = common.table(spark, sf_dir, "labels")
     rated = common.stored(mixing.mix(docs, labels, domains=DOMAINS, targets=TARGETS, max_rate=1.0), "rated")
     return common.without(docs, rated.filter("n_copies = 0").select("rid"))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.tidy(spark)
     return sharding.assign(docs)
 
 
