@@ -29,7 +29,7 @@ class RunLog:
         self.spark, self.root = spark, f"{root.rstrip('/')}/runs"
 
     def _folder(self, run_id: str) -> str:
-        if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id) or run_id[0] in "._":
+        if not re.match(r"[A-Za-z0-9_.-]+\Z", run_id) or run_id[0] in "._":
             raise ValueError(f"a run id holds letters, digits, '-', '_' and '.' only and starts with none of the last two: {run_id!r}")
         return f"{self.root}/{RUN}={run_id}"
 
