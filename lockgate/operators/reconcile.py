@@ -19,6 +19,7 @@ from lockgate import constants as K
 from lockgate import schemas
 from lockgate.functions import exactsum, hashing
 from lockgate.functions.exactsum import tick
+from lockgate.sources import scratch
 from lockgate.sources.tables import frame, union_all
 
 SIDE = "_is_src"
@@ -401,9 +402,10 @@ def one_pass(
 ) -> DataFrame:
     """Count, checksums, partition counts and bucket fingerprints with one scan per side.
 
-    The heavy step groups each side by (partition values, bucket). All checks are then sums over that
-    small result. Rows: (scope, item, metric, src_value, tgt_value, status). Columns that only one side has are rows of
-    scope ``column``; hashes cover the columns of both sides.
+    The heavy step groups each side by (partition values, bucket) and stores these cells at once. The table, the
+    partitions and the buckets are three roll-ups of the stored cells, each reading only the columns it reports, so
+    many partitions times many buckets cost one wide pass. Rows: (scope, item, metric, src_value, tgt_value, status).
+    Columns that only one side has are rows of scope ``column``; hashes cover the columns of both sides.
     """
     hashed = [c for c in src.columns if c in tgt.columns]
     if not hashed:
@@ -420,41 +422,48 @@ def one_pass(
         item = f"to_json(struct({', '.join(map(tick, partition_by))}))" if partition_by else "CAST(NULL AS STRING)"
         return _agg(rows.groupBy(*partition_by, "_bucket"), aggregates).withColumn("_item", F.expr(item)).drop(*partition_by)
 
-    scopes = ["struct('table' AS scope, 'all' AS item)", "struct('bucket' AS scope, CAST(_bucket AS STRING) AS item)"]
-    if partition_by:
-        scopes.append("struct('partition' AS scope, _item AS item)")
-    spread = _stack(cells(src), cells(tgt)).withColumn("_s", F.expr(f"explode(array({', '.join(scopes)}))"))
-    # Both sides count 0 to begin with, so that empty tables are reported too.
-    nothing = f"SELECT {SIDE}, 0L AS rows, struct('table' AS scope, 'all' AS item) AS _s FROM VALUES (true), (false) AS v({SIDE})"
-    spread = spread.unionByName(src.sparkSession.sql(nothing), allowMissingColumns=True)
+    stacked = _stack(cells(src), cells(tgt))
+    # stored under plain names, as the names of the parts hold characters that not every reader takes
+    plain = stacked.toDF(*[f"c{i}" for i in range(len(stacked.columns))])
+    kept = scratch.materialize(plain, "cells").toDF(*stacked.columns)
 
     kinds = {c: (src.schema[c].dataType, tgt.schema[c].dataType) for c in shared}
-    merges = {"rows": "sum", **{n: "sum" for n in exactsum.lane_names("hash")}}
+    metrics = {}
     for c, both in kinds.items():
-        merges |= {n: exactsum.merge_function(n) for kind in both for n in exactsum.part_names(f"sum:{c}", kind)}
-        merges |= {f"min:{c}": "min", f"max:{c}": "max"}
-    merged = [
-        f"{function}(CASE WHEN {condition} THEN {tick(name)} END) AS {tick(f'{side}|{name}')}"
-        for name, function in merges.items()
-        for side, condition in (("src", SIDE), ("tgt", f"NOT {SIDE}"))
-    ]
-    totals = _agg(spread.groupBy("_s.scope", "_s.item"), merged)
+        metrics |= {n: exactsum.merge_function(n) for kind in both for n in exactsum.part_names(f"sum:{c}", kind)}
+        metrics |= {f"min:{c}": "min", f"max:{c}": "max"}
+
+    def merged(parts: dict[str, str]) -> list[str]:
+        return [
+            f"{function}(CASE WHEN {condition} THEN {tick(name)} END) AS {tick(f'{side}|{name}')}"
+            for name, function in parts.items()
+            for side, condition in (("src", SIDE), ("tgt", f"NOT {SIDE}"))
+        ]
 
-    def entry(scope: str, metric: str, src_value: str, tgt_value: str, src_evidence: str = "NULL", tgt_evidence: str = "NULL") -> str:
+    def entry(metric: str, src_value: str, tgt_value: str, src_evidence: str = "NULL", tgt_evidence: str = "NULL") -> str:
         given = {"src_value": src_value, "tgt_value": tgt_value, "src_evidence": src_evidence, "tgt_evidence": tgt_evidence}
         values = ", ".join(f"CAST({v} AS STRING) AS {n}" for n, v in given.items())
-        return f"CASE WHEN scope = '{scope}' THEN struct({_literal(metric)} AS metric, {values}) END"
+        return f"struct({_literal(metric)} AS metric, {values})"
 
-    def plain(scope: str, metric: str, name: str) -> str:
-        return entry(scope, metric, tick(f"src|{name}"), tick(f"tgt|{name}"))
+    def found(scope: str, item: str, totals: DataFrame, entries: list[str]) -> DataFrame:
+        return totals.selectExpr(f"'{scope}' AS scope", f"{item} AS item", f"inline(array({', '.join(entries)}))")
 
-    entries = [plain("table", "rows", "rows"), plain("partition", "rows", "rows")]
-    entries.append(entry("bucket", "fingerprint", *[exactsum.lane_total("hash", side) for side in ("src|", "tgt|")]))
+    def per(scope: str, item: str, parts: dict[str, str], entries: list[str]) -> DataFrame:
+        return found(scope, "item", _agg(kept.groupBy(F.expr(item).alias("item")), merged(parts)), entries)
+
+    # a side without rows has no cells and still counts 0
+    entries = [entry("rows", "coalesce(`src|rows`, 0)", "coalesce(`tgt|rows`, 0)")]
     for c, (src_kind, tgt_kind) in kinds.items():
         sides = ((src_kind, "src|"), (tgt_kind, "tgt|"))
         sums = [f(f"sum:{c}", kind, prefix) for f in (exactsum.total, exactsum.evidence) for kind, prefix in sides]
-        entries += [entry("table", f"sum({c})", *sums), *[plain("table", f"{m}({c})", f"{m}:{c}") for m in ("min", "max")]]
-    report = totals.selectExpr("scope", "item", f"inline(array_compact(array({', '.join(entries)})))")
+        entries.append(entry(f"sum({c})", *sums))
+        entries += [entry(f"{m}({c})", tick(f"src|{m}:{c}"), tick(f"tgt|{m}:{c}")) for m in ("min", "max")]
+    report = found("table", "'all'", _agg(kept, merged({"rows": "sum", **metrics})), entries)
+    lanes = {n: "sum" for n in exactsum.lane_names("hash")}
+    fingerprint = entry("fingerprint", *[exactsum.lane_total("hash", side) for side in ("src|", "tgt|")])
+    report = report.unionByName(per("bucket", "CAST(_bucket AS STRING)", lanes, [fingerprint]))
+    if partition_by:
+        report = report.unionByName(per("partition", "_item", {"rows": "sum"}, [entry("rows", "`src|rows`", "`tgt|rows`")]))
     report = report.withColumn("status", F.when(_agree(), "OK").otherwise("MISMATCH")).drop("src_evidence", "tgt_evidence")
     one_sided = [(c, "present", None) for c in src.columns if c not in tgt.columns]
     one_sided += [(c, None, "present") for c in tgt.columns if c not in src.columns]

@@ -232,6 +232,19 @@ def test_one_pass_agrees_with_the_single_checks(spark):
         assert rows["bucket", str(r.bucket), "fingerprint"][:2] == (str(r.src_fingerprint), str(r.tgt_fingerprint))
 
 
+def test_one_pass_reads_for_each_scope_what_it_reports(spark):
+    """Three roll-ups of stored cells: the sides are not scanned again, partitions read two columns, buckets five."""
+    src = spark.range(300).selectExpr("id", "id / 4D AS v", "id * 2 AS `a b#c.d`", "concat('p', id % 3) AS p")
+    report = R.one_pass(src, src.filter("id <> 7"), ["p"], 8, ["id"])
+    scans = [line for line in report._jdf.queryExecution().executedPlan().toString().splitlines() if "Scan" in line or "Range" in line]
+    assert len(scans) == 3 and all("FileScan parquet" in line for line in scans)
+    widths = sorted(line.split("ReadSchema: struct<")[1].count(":") for line in scans)
+    assert widths[0] <= 3 and widths[1] <= 5 < widths[2]
+    rows = {(r.scope, r.item, r.metric): (r.src_value, r.tgt_value) for r in report.collect()}
+    assert rows["table", "all", "sum(a b#c.d)"] == (str(299 * 300), str(299 * 300 - 14))
+    assert rows["partition", '{"p":"p1"}', "rows"] == ("100", "99")
+
+
 def test_gate_and_rollup(spark):
     good = spark.createDataFrame([("OK",), ("OK",)], "status string")
     bad = spark.createDataFrame([("OK",), ("COUNT_MISMATCH",), ("ERROR",), (None,)], "status string")
