@@ -195,3 +195,54 @@ def test_pipeline_stages_take_odd_rows(spark):
             assert left.count() <= len(rows), name
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert left.columns == frame.columns, name
+
+
+def test_windows_around_a_place_match_brute_force():
+    """All starts that hold both places, by sets; texts without and with repeated tokens, inserted and deleted ones."""
+    rng, size = np.random.default_rng(11), substring_dedup.TOKENS
+    hits = 0
+    for trial in range(120):
+        x = rng.integers(0, 2**31 if trial % 2 else 60, rng.integers(size - 5, 150)).astype(np.uint32)
+        y = x.copy()
+        for _ in range(rng.integers(0, 16)):
+            at = rng.integers(0, len(y))
+            y = [np.delete(y, at), np.insert(y, at, 2**31 + trial), np.append(y[at:], y[:at])][rng.integers(0, 10) // 4]
+        y = y.astype(np.uint32)
+        px, py = int(rng.integers(0, len(x))), int(rng.integers(0, len(y)))
+        if trial % 3:
+            py = min(px, len(y) - 1)
+        want = {}
+        for i in range(px - size + 1, px + 1):
+            j = i - px + py
+            if 0 <= i <= len(x) - size and 0 <= j <= len(y) - size:
+                one, other = set(x[i : i + size].tolist()), set(y[j : j + size].tolist())
+                if len(one & other) >= substring_dedup.SIMILAR * len(one | other):
+                    want[i] = len(one & other) / len(one | other)
+        got = substring_dedup.around(x, y, px, py)
+        assert {i for a, n, _ in got for i in range(a, a + n - size + 1)} == set(want)
+        assert all(best == max(want[i] for i in range(a, a + n - size + 1)) for a, n, best in got)
+        hits += bool(want)
+    assert hits > 20
+
+
+def test_windows_without_ties_are_the_same(spark):
+    values = np.random.default_rng(4).permutation(500).astype(np.uint64)
+    assert substring_dedup.compact_windows(values, ties=False) == substring_dedup.compact_windows(values)
+
+
+def test_edited_copies_of_short_passages_are_found(spark):
+    """300 passages of 50 to 62 words, each in two texts, one with an edit or two: at least 0.9 of the pairs are found."""
+    rng, rows, want = np.random.default_rng(8), [], set()
+    for k in range(300):
+        words = [f"p{k}x{i}" for i in range(rng.integers(50, 63))]
+        edited = list(words)
+        for at in rng.choice(len(words), rng.integers(1, 3), replace=False):
+            edited[at] = "new"
+        near = [len({tuple(t[a + i : a + i + 5]) for i in range(substring_dedup.TOKENS)} & {tuple(u[a + i : a + i + 5]) for i in range(substring_dedup.TOKENS)}) for t, u in [(words, edited)] for a in range(len(words) - 49)]
+        for side, text in enumerate((words, edited)):
+            rows.append((2 * k + side, " ".join([f"a{k}s{side}n{i}" for i in range(30)] + text + [f"b{k}s{side}n{i}" for i in range(30)])))
+        if max(near) >= substring_dedup.AGREE:
+            want.add(2 * k)
+    got = substring_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.doc_id for r in got if r.component_id == r.doc_id}
+    assert len(want) > 100 and len(found & want) >= 0.9 * len(want) and all(r.component_id // 2 == r.doc_id // 2 for r in got)
