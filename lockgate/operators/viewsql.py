@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lockgate import schemas
 from lockgate.functions import names, sqltext
 from lockgate.sources import scratch, tables
 
+#: Texts on the driver at a time.
+BATCH = 1000
+
 
 def rewrite_refs(
     views: DataFrame,
@@ -95,20 +99,46 @@ def strict_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def parse_error(session: SparkSession, text: str) -> str | None:
-    """What Spark's own parser has against a text under the settings of ``session``, or None."""
+def parse_errors(session: SparkSession, texts: Sequence[str]) -> list[str | None]:
+    """What Spark's own parser has against each text under the settings of ``session``, or None."""
     active = session._jvm.org.apache.spark.sql.classic.SparkSession
     before = active.getActiveSession()
     active.setActiveSession(session._jsparkSession)
+    parser = session._jsparkSession.sessionState().sqlParser()
+
+    def error(text: str) -> str | None:
+        try:
+            parser.parsePlan(text)
+            return None
+        except (Py4JJavaError, PySparkException) as error:
+            return " ".join(str(error).split()) or type(error).__name__
+
     try:
-        session._jsparkSession.sessionState().sqlParser().parsePlan(text)
-        return None
-    except (Py4JJavaError, PySparkException) as error:
-        return " ".join(str(error).split()) or type(error).__name__
+        return [error(text) for text in texts]
     finally:
         active.setActiveSession(before.get()) if before.isDefined() else active.clearActiveSession()
 
 
+def _batches(rows: DataFrame) -> Iterator[list[Row]]:
+    """The rows in their order, at most ``BATCH`` at a time: they are stored in files of that many, and files are read one by one."""
+    spark, folder = rows.sparkSession, scratch.new_folder(rows.sparkSession, "batches")
+    tables.write(rows, folder, max_records_per_file=BATCH)
+    for file in scratch.part_files(spark, folder):
+        yield spark.read.schema(rows.schema).parquet(file).collect()
+
+
+def _failures(rows: DataFrame, key: str, fails: Callable[[list[Row]], Sequence[str | None]]) -> DataFrame:
+    """(key, failure) of the rows with one. The driver holds a batch; its failures are stored before the next one."""
+    spark, folder, stored = rows.sparkSession, scratch.new_folder(rows.sparkSession, "failures"), 0
+    schema = StructType([rows.schema[key], StructField("failure", StringType())])
+    for batch in _batches(rows):
+        failed = [(row[key], failure) for row, failure in zip(batch, fails(batch)) if failure is not None]
+        if failed:
+            tables.frame(spark, failed, schema).write.mode("append").parquet(folder)
+            stored += len(failed)
+    return spark.read.schema(schema).parquet(folder) if stored else tables.frame(spark, [], schema)
+
+
 def checked(
     spark: SparkSession,
     recreated: DataFrame,
@@ -118,32 +148,53 @@ def checked(
 ) -> DataFrame:
     """(src_view, tgt_view, create_sql, status, error_message) after every text went through Spark's parser.
 
-    The driver holds one text per view, a few at a time. A dry run creates nothing: DRY_RUN_OK or
-    DRY_RUN_SYNTAX_ERROR. Otherwise ``create`` runs each statement, SUCCESS or ERROR; without it good texts are PLANNED.
+    Texts meet the parser on the driver, equal ones once and ``BATCH`` at a time; what it has against them is stored and
+    joined to the views. A dry run creates nothing: DRY_RUN_OK or DRY_RUN_SYNTAX_ERROR. Otherwise ``create`` runs each
+    statement in the order of ``recreated``, SUCCESS or ERROR; without it good texts are PLANNED.
     """
+    rows = scratch.materialize(recreated.withColumn("place", F.monotonically_increasing_id()), "recreated")
     session = strict_session(spark)
 
-    def check(row) -> tuple:
-        named = (row["src_view"], row["tgt_view"], row["create_sql"])
-        if row["create_sql"] is None:
-            return (*named, "EXTRACTION_ERROR", "the view has no text")
-        error = parse_error(session, row["adapted"])
-        if error is None and row["status"] in ("DRY_RUN_SYNTAX_ERROR", "ERROR"):
-            error = "the text is no query"
-        if error is not None:
-            return (*named, "DRY_RUN_SYNTAX_ERROR" if dry_run else "ERROR", error)
-        if dry_run:
-            return (*named, "DRY_RUN_OK", None)
-        if create is None:
-            return (*named, "PLANNED", None)
+    def parsed(batch: list[Row]) -> list[str | None]:
+        texts = [row["adapted"] for row in batch]
+        with ThreadPoolExecutor(max_parallel) as pool:
+            parts = pool.map(lambda part: parse_errors(session, part), [texts[i::max_parallel] for i in range(max_parallel)])
+        found = dict(zip([t for i in range(max_parallel) for t in texts[i::max_parallel]], [e for part in parts for e in part]))
+        return [found[text] for text in texts]
+
+    refused = _failures(rows.filter(F.col("create_sql").isNotNull()).select("adapted").distinct(), "adapted", parsed)
+    no_text = F.col("create_sql").isNull()
+    no_query = F.when(F.col("status").isin("DRY_RUN_SYNTAX_ERROR", "ERROR"), "the text is no query")
+    error = F.when(no_text, "the view has no text").otherwise(F.coalesce("failure", no_query))
+    bad, good = ("DRY_RUN_SYNTAX_ERROR", "DRY_RUN_OK") if dry_run else ("ERROR", "PLANNED" if create is None else "SUCCESS")
+    status = F.when(no_text, "EXTRACTION_ERROR").when(error.isNotNull(), bad).otherwise(good)
+    # Stored messages hold whole texts and shrink on disk; by its size there the table would be broadcast through the driver.
+    judged = rows.join(refused.hint("merge"), "adapted", "left").select(
+        "place", "src_view", "tgt_view", "create_sql", status.alias("status"), error.alias("error_message")
+    )
+    if create is None or dry_run:
+        return judged.select(*schemas.VIEW_LOG.names)
+    judged = scratch.materialize(judged, "judged")
+
+    def made(row: Row) -> str | None:
         try:
             create(row["create_sql"])
-            return (*named, "SUCCESS", None)
+            return None
         except Exception as failure:  # noqa: BLE001 - one view must not stop the others
-            return (*named, "ERROR", f"{type(failure).__name__}: {failure}")
-
-    with ThreadPoolExecutor(max_parallel) as pool:
-        return tables.frame(spark, pool.map(check, recreated.toLocalIterator()), schemas.VIEW_LOG)
+            return f"{type(failure).__name__}: {failure}"
+
+    def run(batch: list[Row]) -> list[str | None]:
+        with ThreadPoolExecutor(max_parallel) as pool:
+            return list(pool.map(made, batch))
+
+    broken = _failures(judged.filter(F.col("error_message").isNull()).select("place", "create_sql").orderBy("place"), "place", run)
+    return judged.join(broken.hint("merge"), "place", "left").select(
+        "src_view",
+        "tgt_view",
+        "create_sql",
+        F.when(F.col("failure").isNull(), F.col("status")).otherwise(bad).alias("status"),
+        F.coalesce("error_message", "failure").alias("error_message"),
+    )
 
 
 def references(views: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ to a folder of its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,3 +38,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def part_files(spark: SparkSession, folder: str) -> list[str]:
+    """The data files of a written folder by task and number, so that a sorted table's files follow each other."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = [s.getPath().toString() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    numbered = [(re.search(r"/part-(\d+)-[^/]*?-c(\d+)[^/]*\Z", f), f) for f in found]
+    return [f for _, f in sorted(((int(m[1]), int(m[2])), f) for m, f in numbered if m)]

@@ -190,6 +190,34 @@ def test_views_are_parsed_by_spark(spark):
     assert {r.status for r in viewsql.checked(spark, real.filter("src_view = 'd.ok'"), lambda s: 1 / 0, dry_run=False).collect()} == {"ERROR"}
 
 
+def test_the_driver_holds_a_batch_of_views(spark, monkeypatch):
+    monkeypatch.setattr(viewsql, "BATCH", 3, raising=False)
+    held, kept = [], tables.frame
+    monkeypatch.setattr(tables, "frame", lambda spark, rows, schema: held.append(len(rows := list(rows))) or kept(spark, rows, schema))
+    rows = [("d", f"v{i:02}", f"CREATE VIEW v AS SELECT {i} FROM `d`.`t`" + ")" * (i % 4 == 0)) for i in range(20)]
+    rows += [("d", "none", None)]
+    views = spark.createDataFrame(rows, "database_name string, table_name string, ddl string")
+    known = spark.createDataFrame([("d", "prod", "d2")], "src_database string, tgt_catalog string, tgt_schema string")
+    plain = viewsql.recreate(views, known, "prod", dry_run=False)
+    again = plain.filter("src_view = 'd.v01'").withColumn("src_view", F.lit("d.again"))
+    recreated = plain.unionByName(again).unionByName(again).repartition(5).orderBy(F.desc("src_view"))
+    found = viewsql.checked(spark, recreated, dry_run=False).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in found} == {"PLANNED": 17, "ERROR": 5, "EXTRACTION_ERROR": 1}
+    made = []
+
+    def create(statement: str) -> None:
+        made.append(statement.split("`")[5])
+        if made[-1] == "v07":
+            raise ValueError("no room")
+
+    done = viewsql.checked(spark, recreated, create, dry_run=False, max_parallel=1).collect()
+    good = [f"v{i:02}" for i in range(19, 0, -1) if i % 4]
+    assert made == good + ["v01", "v01"]
+    assert {r.src_view: (r.status, r.error_message) for r in done}["d.v07"] == ("ERROR", "ValueError: no room")
+    assert sorted(r.status for r in done) == ["ERROR"] * 6 + ["EXTRACTION_ERROR"] + ["SUCCESS"] * 16
+    assert max(held) <= 3
+
+
 def test_views_are_ordered_by_what_they_read(spark):
     reads = {"a": ["t"], "b": ["a", "t"], "c": ["b", "a"], "x": ["y"], "y": ["x"], "z": ["y", "a"], "self": ["self"]}
     rows = [("d", v, f"CREATE VIEW d.{v} AS SELECT * FROM " + " JOIN ".join(f"`d`.`{r}`" for r in refs)) for v, refs in reads.items()]
