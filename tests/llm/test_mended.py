@@ -246,3 +246,51 @@ def test_edited_copies_of_short_passages_are_found(spark):
     got = substring_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     found = {r.doc_id for r in got if r.component_id == r.doc_id}
     assert len(want) > 100 and len(found & want) >= 0.9 * len(want) and all(r.component_id // 2 == r.doc_id // 2 for r in got)
+
+
+def test_ranges_of_many_texts_match_their_trees():
+    rng, size = np.random.default_rng(21), substring_dedup.TOKENS
+    tokens = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (size, size + 1, 300, size, 2000)]
+    for f in range(substring_dedup.HASHES):
+        got = set(zip(*(x.tolist() for x in substring_dedup._ranges(tokens, f))))
+        want = set()
+        for k, text in enumerate(tokens):
+            values = common.mix(text ^ substring_dedup.SEEDS[f])
+            for low, c, high in substring_dedup.compact_windows(values):
+                want.add((k, max(low, c - size + 1), min(c, high - size + 1), c, int(values[c])))
+        assert got == want
+
+
+def test_similar_windows_share_a_rare_token():
+    """Whatever the order of tokens: places that a passage covers have one of their rarest tokens in common."""
+    rng, size, hits = np.random.default_rng(12), substring_dedup.TOKENS, 0
+    for trial in range(300):
+        x = rng.integers(0, 2**31 if trial % 2 else 90, rng.integers(size, 150)).astype(np.uint32)
+        y = x.copy()
+        for _ in range(rng.integers(0, 12)):
+            at = rng.integers(0, len(y))
+            y = [np.delete(y, at), np.insert(y, at, 2**31 + trial), np.append(y[at:], y[:at])][rng.integers(0, 10) // 4]
+        y = y.astype(np.uint32)
+        px = int(rng.integers(0, len(x)))
+        py = min(max(0, px + int(rng.integers(-1, 2))), len(y) - 1)
+        if not substring_dedup.passages(x, y, [(px, py)])[1]:
+            continue
+        hits += 1
+        rare = rng.integers(0, 3, 1 << 10).astype(np.uint8)
+        (a, more_a, mixed_a), (b, more_b, mixed_b) = (substring_dedup.rarest(substring_dedup._rank(t, rare), p) for t, p in ((x, px), (y, py)))
+        assert set(a) & set(b) if not mixed_a and not mixed_b else set(a + more_a) & set(b + more_b)
+    assert hits > 60
+
+
+def test_holders_of_a_short_line_are_not_all_compared(spark, monkeypatch):
+    """A line shorter than a passage in 30 texts; two of them are near copies and are found."""
+    line = [f"line{i}" for i in range(38)]
+    texts = [[f"a{k}x{i}" for i in range(60)] + line + [f"b{k}x{i}" for i in range(60)] for k in range(30)]
+    texts[29] = [*texts[28][:30], "new", *texts[28][31:]]
+    compared, checked = [], substring_dedup._checked
+    monkeypatch.setattr(substring_dedup, "_checked", lambda met, tokens: (compared.append(met.select("a", "b").distinct().count()), checked(met, tokens))[1])
+    docs = spark.createDataFrame([(k + 1, " ".join(t)) for k, t in enumerate(texts)], "th long, text string")
+    keys = spark.createDataFrame([(7, k + 1, 75) for k in range(30)], "h long, th long, c int")
+    found = substring_dedup._linked(keys, docs).filter("n IS NOT NULL").select("a", "b").distinct().collect()
+    assert [tuple(r) for r in found] == [(29, 30)]
+    assert sum(compared) < 60  # all pairs are 435
